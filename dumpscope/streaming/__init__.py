@@ -1,0 +1 @@
+"""Empty: every job here is a batch job over dump files, so there is no streaming operator to provide."""
