@@ -9,8 +9,10 @@ from dumpscope.constants import PRINTABLE_HEX, WHITESPACE
 
 
 def ascii_only(text: Column) -> Column:
-    """Drop every non-ASCII character."""
-    return F.regexp_replace(text, r"[^\x00-\x7F]", "")
+    """Drop every non-ASCII character; a text of as many bytes as characters has none."""
+    return F.when(F.octet_length(text) == F.length(text), text).otherwise(
+        F.regexp_replace(text, r"[^\x00-\x7F]", "")
+    )
 
 
 def strip(text: Column) -> Column:
@@ -19,7 +21,8 @@ def strip(text: Column) -> Column:
 
 
 def unix_newlines(text: Column) -> Column:
-    return F.regexp_replace(text, r"\r\n?", "\n")
+    """End every line with a plain newline."""
+    return F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, r"\r\n?", "\n")).otherwise(text)
 
 
 def normalise_title(raw: Column, namespaces: list[str] | None = None) -> Column:

@@ -92,35 +92,46 @@ def entity_tags(df: DataFrame, key: str, text: str, entities: DataFrame, name: s
     letters = [chr(0x100 + n) for n in range(max(lengths, default=0) + 1)]
 
     def grams(n: int) -> Column:
-        starts = F.when(
-            F.size("_tokens") >= n, F.sequence(F.lit(0), F.greatest(F.size("_tokens") - n, F.lit(0)))
-        ).otherwise(F.array().cast("array<int>"))
-        phrase = lambda i: F.array_join(F.slice("_tokens", i + 1, n), " ")
-        return F.transform(
-            starts, lambda i: F.struct(i.alias("pos"), F.lit(n).alias("n"), phrase(i).alias("phrase"))
+        """All n-grams with their positions, by pairing the token list with itself moved on."""
+        phrases = F.col("_tokens")
+        for k in range(1, n):
+            moved = F.slice("_tokens", k + 1, F.greatest(F.size("_tokens"), F.lit(1)))
+            phrases = F.zip_with(phrases, moved, lambda a, b: F.concat(a, F.lit(" "), b))
+        placed = F.transform(
+            phrases, lambda p, i: F.struct(i.alias("pos"), F.lit(n).alias("n"), p.alias("phrase"))
         )
+        return F.filter(placed, lambda g: g["phrase"].isNotNull())
 
     tokens = df.select(key, tx.blank_tokens(F.col(text)).alias("_tokens")).repartition(key)
     every = F.concat(*[grams(n) for n in sorted({1, *lengths})])
     rows = tokens.select(key, F.explode_outer(every).alias("_gram")).select(key, "_gram.*")
     found = rows.join(phrases, "phrase", "left").filter("n = 1 OR n IS NULL OR _tag IS NOT NULL")
-    hit = F.when(F.col("_tag").isNotNull(), F.struct("n", F.col("_tag").alias("tag")))
-    token = F.max(F.when(F.col("n") == 1, F.col("phrase")))
-    positions = found.groupBy(key, "pos").agg(token.alias("token"), F.max(hit).alias("hit"))
-    placed = F.when(F.col("pos").isNotNull(), F.struct("pos", "token", "hit"))
-    texts = positions.groupBy(key).agg(F.array_sort(F.collect_list(placed)).alias("_at"))
-
-    letter = lambda p: F.get(F.lit(letters), F.coalesce(p["hit"]["n"], F.lit(0)))
-    readings = "|".join([letters[n] + "." * (n - 1) for n in reversed(lengths)] + [letters[0]])
-    coded = F.array_join(F.transform("_at", letter), "")
-    texts = texts.select(key, "_at", F.regexp_extract_all(coded, F.lit(readings), F.lit(0)).alias("_chosen"))
+    placed = F.when(F.col("pos").isNotNull(), F.struct("pos", "n", "phrase", "_tag"))
+    texts = found.groupBy(key).agg(F.array_sort(F.collect_list(placed)).alias("_rows"))
 
     # Lists are only paired by position: a list used inside a function of another's elements would be
     # computed anew for every element.
+    following = F.concat(F.slice("_rows", 2, F.greatest(F.size("_rows"), F.lit(1))), F.array(F.lit(None)))
+    rows = F.zip_with("_rows", following, lambda r, f: F.struct(r.alias("row"), f["pos"].alias("next")))
+    longest = F.filter(rows, lambda r: ~r["row"]["pos"].eqNullSafe(r["next"]))
+    hits = F.transform(
+        longest,
+        lambda r: F.struct(
+            F.when(r["row"]["_tag"].isNotNull(), r["row"]["n"]).otherwise(0).alias("n"),
+            F.coalesce(r["row"]["_tag"], F.lit(OUTSIDE)).alias("tag"),
+        ),
+    )
+    tokens = F.transform(F.filter("_rows", lambda r: r["n"] == 1), lambda r: r["phrase"])
+    texts = texts.select(key, tokens.alias("_tokens"), hits.alias("_hits"))
+
+    readings = "|".join([letters[n] + "." * (n - 1) for n in reversed(lengths)] + [letters[0]])
+    coded = F.array_join(F.transform("_hits", lambda h: F.get(F.lit(letters), h["n"])), "")
+    chosen = F.regexp_extract_all(coded, F.lit(readings), F.lit(0))
+    texts = texts.select(key, "_tokens", "_hits", chosen.alias("_chosen"))
+
     offsets = F.flatten(F.transform("_chosen", lambda c: F.sequence(F.lit(0), F.length(c) - 1)))
-    first = F.zip_with("_at", offsets, lambda p, offset: F.struct(p["hit"]["tag"].alias("tag"), offset.alias("offset")))
-    starts = F.filter(first, lambda s: s["offset"] == 0)
-    tag = lambda s, c: F.array_repeat(F.coalesce(s["tag"], F.lit(OUTSIDE)), F.length(c))
-    tags = F.flatten(F.zip_with(starts, "_chosen", tag))
-    pairs = F.zip_with("_at", tags, lambda p, t: F.struct(p["token"].alias("token"), t.alias("tag")))
+    first = F.zip_with("_hits", offsets, lambda h, o: F.when(o == 0, h["tag"]))
+    starts = F.filter(first, lambda tag: tag.isNotNull())
+    tags = F.flatten(F.zip_with(starts, "_chosen", lambda tag, c: F.array_repeat(tag, F.length(c))))
+    pairs = F.zip_with("_tokens", tags, lambda token, tag: F.struct(token.alias("token"), tag.alias("tag")))
     return texts.select(key, pairs.alias(name))

@@ -55,13 +55,13 @@ def filter_tokens(
     ``form`` is a SQL expression over ``token``. Every key stays, if need be with an empty list. The join of a
     large word table needs ``key`` to be unique.
     """
-    known = words.select(F.col(words.columns[0]).alias("_word")).filter("_word IS NOT NULL").distinct()
+    known = words.select(F.col(words.columns[0]).alias("_word")).filter("_word IS NOT NULL")
     rows = inline_values(known, limit)
     if rows is not None:
-        members = sql_list([r["_word"] for r in rows]) or "NULL"
+        members = sql_list(sorted({r["_word"] for r in rows})) or "NULL"
         test = f"coalesce({form} IN ({members}), false) = {str(keep).lower()}"
         listed = df.select(key, tokens.alias("_tokens"))
         return listed.select(key, F.expr(f"filter(_tokens, token -> {test})").alias("tokens"))
-    found = explode_tokens(df, key, tokens).join(known, F.expr(form) == F.col("_word"), "left")
+    found = explode_tokens(df, key, tokens).join(known.distinct(), F.expr(form) == F.col("_word"), "left")
     hit = F.col("_word").isNotNull() if keep else F.col("_word").isNull()
     return regroup_tokens(found.select(key, "pos", F.when(hit, F.col("token")).alias("token")), key)

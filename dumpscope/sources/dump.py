@@ -10,7 +10,8 @@ def kept_marker(end_marker: str = END_MARKER) -> str:
     """The piece of the end marker that stays at the end of a complete record.
 
     Records are separated by the rest of the marker. A record that lacks this piece was cut off at the end
-    of its file, so a truncated article shows in the record itself, whatever split it was read in.
+    of its file, so a truncated article shows in the record itself, whatever split it was read in. (Only a file
+    cut inside a marker, right behind this piece, passes for complete.)
     """
     return end_marker[: max(1, len(end_marker) // 6)]
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dumpscope.functions.titles import ascii_only, normalise_title, strip
 from dumpscope.operators.rank import with_position
-from dumpscope.schema import ENTITIES, LEMMAS, LEXICON, WORD_TAGS, WORDS
+from dumpscope.schema import ENTITIES, LEMMAS, LEXICON, WORD_TAGS
 
 
 def _tsv(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -40,9 +40,9 @@ def read_words(spark: SparkSession, path: str) -> DataFrame:
 
 
 def default_stop_words(spark: SparkSession) -> DataFrame:
-    """Spark's own English stop-word list."""
-    words = StopWordsRemover.loadDefaultStopWords("english")
-    return spark.createDataFrame([(w,) for w in words], WORDS)
+    """Spark's own English stop-word list, as a constant so that Catalyst knows its size."""
+    words = " ".join(StopWordsRemover.loadDefaultStopWords("english"))
+    return spark.range(1, numPartitions=1).select(F.explode(F.split(F.lit(words), " ")).alias("word"))
 
 
 def read_titles(spark: SparkSession, path: str | list[str], fold_ascii: bool = False) -> DataFrame:
