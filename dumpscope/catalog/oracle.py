@@ -404,3 +404,6 @@ ORACLES["entity_tags"] = (
     + "SELECT tk.doc_id, tk.pos, tk.token, coalesce(spans.tag, 'O') AS tag FROM tk LEFT JOIN spans "
     + "ON tk.doc_id = spans.doc_id AND tk.pos = spans.pos"
 )
+ORACLES["entity_tags_joined"] = (
+    f"SELECT doc_id, tag, count(*) AS n FROM ({ORACLES['entity_tags']}) GROUP BY doc_id, tag"
+)

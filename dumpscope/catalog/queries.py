@@ -45,7 +45,8 @@ def _document_articles(spark, sf_dir) -> DataFrame:
 
 
 def _long(df: DataFrame, key: str, values, name: str) -> DataFrame:
-    rows = df.select(key, F.posexplode(values).alias("pos", name))
+    # The outer form: an inner one would filter on the list first and so compute it twice.
+    rows = df.select(key, F.posexplode_outer(values).alias("pos", name)).filter("pos IS NOT NULL")
     return rows.withColumn("pos", F.col("pos").cast("long"))
 
 
@@ -130,7 +131,7 @@ def link_counts_cursor(spark, sf_dir):
 def headings_long(spark, sf_dir):
     kinds = [F.struct(F.lit(c).alias("kind"), F.col(c).alias("found")) for c in stats.LEVELS]
     found = _articles(spark, sf_dir).select("page_id", F.inline(F.array(*kinds)))
-    return found.select("page_id", "kind", F.explode("found").alias("heading"))
+    return found.select("page_id", "kind", F.explode_outer("found").alias("heading")).filter("heading IS NOT NULL")
 
 
 @query
@@ -376,7 +377,7 @@ def title_texts(spark, sf_dir):
 
 
 def _ranked(spark, sf_dir, how):
-    documents = _document_articles(spark, sf_dir)
+    documents = segment(wk.document_records(spark, sf_dir))
     return sentiment.ranked_articles(wk.ranked_titles(spark, sf_dir), documents, "doc_id", how)
 
 
@@ -396,7 +397,7 @@ def ranked_title_count(spark, sf_dir):
 
 
 def _sentiment(spark, sf_dir):
-    ranked, documents = wk.ranked_titles(spark, sf_dir), _document_articles(spark, sf_dir)
+    ranked, documents = wk.ranked_titles(spark, sf_dir), segment(wk.document_records(spark, sf_dir))
     return sentiment.ranked_sentiment(ranked, documents, "doc_id", wk.lexicon(spark, sf_dir))
 
 
@@ -431,8 +432,17 @@ def normalised_text(spark, sf_dir):
     return lexical.normalise_text(_documents(spark, sf_dir), "doc_id", "text", stop, tags, lemmas)
 
 
+def _entity_tags(spark, sf_dir, **how):
+    tagged = lexical.entity_tags(_documents(spark, sf_dir), "doc_id", "text", wk.entities(spark, sf_dir), **how)
+    rows = tagged.select("doc_id", F.posexplode_outer("tags").alias("pos", "pair")).filter("pos IS NOT NULL")
+    return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), "pair.token", "pair.tag")
+
+
 @query
 def entity_tags(spark, sf_dir):
-    tagged = lexical.entity_tags(_documents(spark, sf_dir), "doc_id", "text", wk.entities(spark, sf_dir))
-    rows = tagged.select("doc_id", F.posexplode("tags").alias("pos", "pair"))
-    return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), "pair.token", "pair.tag")
+    return _entity_tags(spark, sf_dir)
+
+
+@query
+def entity_tags_joined(spark, sf_dir):
+    return _entity_tags(spark, sf_dir, limit=0).groupBy("doc_id", "tag").agg(F.count("*").alias("n"))

@@ -1,11 +1,20 @@
 """Table-driven lemmas, part-of-speech filter and entity tags, as joins on token tables."""
 
+from collections import defaultdict
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dumpscope.constants import ADJECTIVE_TAGS, NOUN_TAGS, VERB_TAGS
 from dumpscope.functions import text as tx
-from dumpscope.operators.tokens import INLINE_LIMIT, explode_tokens, filter_tokens, regroup_tokens
+from dumpscope.operators.tokens import (
+    INLINE_LIMIT,
+    explode_tokens,
+    filter_tokens,
+    inline_values,
+    regroup_tokens,
+    sql_list,
+)
 
 CONTENT_TAGS = NOUN_TAGS + ADJECTIVE_TAGS + VERB_TAGS
 OUTSIDE = "O"
@@ -78,39 +87,50 @@ def normalise_text(
     return content.select(key, _framed(F.col("tokens")).alias(name))
 
 
-def entity_tags(df: DataFrame, key: str, text: str, entities: DataFrame, name: str = "tags") -> DataFrame:
-    """``key`` and, per whitespace token, a (token, tag) pair from the longest phrase that starts first.
+def _grams(n: int) -> Column:
+    """The n-gram at each position, null at the last ones, by pairing the token list with itself moved on."""
+    phrases = F.col("_tokens")
+    for k in range(1, n):
+        moved = F.slice("_tokens", k + 1, F.greatest(F.size("_tokens"), F.lit(1)))
+        phrases = F.zip_with(phrases, moved, lambda a, b: F.concat(a, F.lit(" "), b))
+    return phrases
+
+
+def _inline_hits(texts: DataFrame, key: str, entries: list) -> DataFrame:
+    """Longest hit per position, with the phrases as hash sets, one for each length and tag."""
+    sets = defaultdict(lambda: defaultdict(list))
+    for row in entries:
+        sets[row["_n"]][row["_tag"]].append(row["phrase"])
+    none = f"transform(_tokens, t -> struct(0 AS n, '{OUTSIDE}' AS tag))"
+    texts = texts.select(key, "_tokens", F.expr(none).alias("_hits"))
+    for n in sorted(sets):
+        members = sql_list([p for phrases in sets[n].values() for p in phrases])
+        cases = " ".join(f"WHEN g IN ({sql_list(phrases)}) THEN {sql_list([tag])}" for tag, phrases in sets[n].items())
+        tag = f"CASE WHEN g IN ({members}) THEN CASE {cases} END END"
+        found = texts.select(key, "_tokens", "_hits", _grams(n).alias("_grams"))
+        found = found.select(key, "_tokens", "_hits", F.expr(f"transform(_grams, g -> {tag})").alias("_found"))
+        longer = F.zip_with(
+            "_hits",
+            "_found",
+            lambda hit, tag: F.when(tag.isNotNull(), F.struct(F.lit(n).alias("n"), tag.alias("tag"))).otherwise(hit),  # noqa: B023
+        )
+        texts = found.select(key, "_tokens", longer.alias("_hits"))
+    return texts
 
-    Every word n-gram of a length that some phrase has is joined with the phrases, so one n-gram finds at
-    most one of them, whichever words are common. Per text, the longest hit of each position becomes one letter,
-    and a pattern of one alternative per length reads the letters from left to right, skipping what a
-    chosen phrase covers. Tokens outside phrases are tagged ``O``.
-    """
-    size = F.size(F.split("phrase", " "))
-    phrases = entities.filter("phrase <> ''").groupBy("phrase").agg(F.min("tag").alias("_tag"))
-    lengths = sorted(r[0] for r in phrases.select(size).distinct().collect())
-    letters = [chr(0x100 + n) for n in range(max(lengths, default=0) + 1)]
 
-    def grams(n: int) -> Column:
-        """All n-grams with their positions, by pairing the token list with itself moved on."""
-        phrases = F.col("_tokens")
-        for k in range(1, n):
-            moved = F.slice("_tokens", k + 1, F.greatest(F.size("_tokens"), F.lit(1)))
-            phrases = F.zip_with(phrases, moved, lambda a, b: F.concat(a, F.lit(" "), b))
-        placed = F.transform(
-            phrases, lambda p, i: F.struct(i.alias("pos"), F.lit(n).alias("n"), p.alias("phrase"))
-        )
-        return F.filter(placed, lambda g: g["phrase"].isNotNull())
+def _joined_hits(texts: DataFrame, key: str, phrases: DataFrame, lengths: list[int]) -> DataFrame:
+    """Longest hit per position, from a join of all n-grams with the phrases."""
+
+    def placed(n: int) -> Column:
+        grams = F.transform(_grams(n), lambda p, i: F.struct(i.alias("pos"), F.lit(n).alias("n"), p.alias("phrase")))
+        return F.filter(grams, lambda g: g["phrase"].isNotNull())
 
-    tokens = df.select(key, tx.blank_tokens(F.col(text)).alias("_tokens")).repartition(key)
-    every = F.concat(*[grams(n) for n in sorted({1, *lengths})])
-    rows = tokens.select(key, F.explode_outer(every).alias("_gram")).select(key, "_gram.*")
+    every = F.concat(*[placed(n) for n in sorted({1, *lengths})])
+    rows = texts.repartition(key).select(key, F.explode_outer(every).alias("_gram")).select(key, "_gram.*")
     found = rows.join(phrases, "phrase", "left").filter("n = 1 OR n IS NULL OR _tag IS NOT NULL")
-    placed = F.when(F.col("pos").isNotNull(), F.struct("pos", "n", "phrase", "_tag"))
-    texts = found.groupBy(key).agg(F.array_sort(F.collect_list(placed)).alias("_rows"))
+    gram = F.when(F.col("pos").isNotNull(), F.struct("pos", "n", "phrase", "_tag"))
+    texts = found.groupBy(key).agg(F.array_sort(F.collect_list(gram)).alias("_rows"))
 
-    # Lists are only paired by position: a list used inside a function of another's elements would be
-    # computed anew for every element.
     following = F.concat(F.slice("_rows", 2, F.greatest(F.size("_rows"), F.lit(1))), F.array(F.lit(None)))
     rows = F.zip_with("_rows", following, lambda r, f: F.struct(r.alias("row"), f["pos"].alias("next")))
     longest = F.filter(rows, lambda r: ~r["row"]["pos"].eqNullSafe(r["next"]))
@@ -122,13 +142,39 @@ def entity_tags(df: DataFrame, key: str, text: str, entities: DataFrame, name: s
         ),
     )
     tokens = F.transform(F.filter("_rows", lambda r: r["n"] == 1), lambda r: r["phrase"])
-    texts = texts.select(key, tokens.alias("_tokens"), hits.alias("_hits"))
+    return texts.select(key, tokens.alias("_tokens"), hits.alias("_hits"))
 
+
+def entity_tags(
+    df: DataFrame, key: str, text: str, entities: DataFrame, name: str = "tags", limit: int = INLINE_LIMIT
+) -> DataFrame:
+    """``key`` and, per whitespace token, a (token, tag) pair from the longest phrase that starts first.
+
+    Up to ``limit`` phrases are held in the expression, and every text is tagged where it lies. More are joined with
+    the word n-grams of the lengths they have; an n-gram finds at most one phrase, whichever words are common.
+    Per text, the longest hit of each position becomes one letter, and a pattern of one alternative per
+    length reads the letters from left to right, skipping what a chosen phrase covers. Tokens outside
+    phrases are tagged ``O``.
+    """
+    phrases = entities.filter("phrase <> ''").groupBy("phrase").agg(F.min("tag").alias("_tag"))
+    sized = phrases.withColumn("_n", F.size(F.split("phrase", " ")))
+    texts = df.select(key, F.coalesce(tx.blank_tokens(F.col(text)), F.array().cast("array<string>")).alias("_tokens"))
+    entries = inline_values(sized, limit)
+    if entries is not None:
+        lengths = sorted({row["_n"] for row in entries})
+        texts = _inline_hits(texts, key, entries)
+    else:
+        lengths = sorted(row[0] for row in sized.select("_n").distinct().collect())
+        texts = _joined_hits(texts, key, phrases, lengths)
+
+    letters = [chr(0x100 + n) for n in range(max(lengths, default=0) + 1)]
     readings = "|".join([letters[n] + "." * (n - 1) for n in reversed(lengths)] + [letters[0]])
     coded = F.array_join(F.transform("_hits", lambda h: F.get(F.lit(letters), h["n"])), "")
     chosen = F.regexp_extract_all(coded, F.lit(readings), F.lit(0))
     texts = texts.select(key, "_tokens", "_hits", chosen.alias("_chosen"))
 
+    # Lists are only paired by position: a list used inside a function of another's elements would be
+    # computed anew for every element.
     offsets = F.flatten(F.transform("_chosen", lambda c: F.sequence(F.lit(0), F.length(c) - 1)))
     first = F.zip_with("_hits", offsets, lambda h, o: F.when(o == 0, h["tag"]))
     starts = F.filter(first, lambda tag: tag.isNotNull())

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dumpscope.functions import text as tx
+from dumpscope.functions.markup import pure_text
 from dumpscope.operators.lineage import checkpointed
 from dumpscope.operators.rank import average_rank
 from dumpscope.operators.tokens import INLINE_LIMIT, inline_values, sql_list
@@ -76,8 +77,9 @@ def sentence_scores(
 
 def sentences_long(scores: DataFrame, key: str) -> DataFrame:
     """One row per sentence: ``key``, ``sid``, ``pos``, ``neg``."""
-    rows = scores.select(key, F.posexplode("scores").alias("sid", "score"))
-    return rows.select(key, "sid", "score.pos", "score.neg")
+    # The outer form: an inner one would filter on the list first and so score every text twice.
+    rows = scores.select(key, F.posexplode_outer("scores").alias("sid", "score"))
+    return rows.filter("sid IS NOT NULL").select(key, "sid", "score.pos", "score.neg")
 
 
 def with_polarity(scores: DataFrame) -> DataFrame:
@@ -98,11 +100,13 @@ def with_polarity(scores: DataFrame) -> DataFrame:
 def ranked_articles(ranked: DataFrame, articles: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """``rank``, ``title``, ``key``, ``pure_text`` of ranked titles and their articles.
 
-    Null titles never match and duplicates multiply; ``how="left"`` keeps unmatched ranked titles.
+    Null titles never match and duplicates multiply; ``how="left"`` keeps unmatched ranked titles. ``articles``
+    has ``pure_text``, or the ``body`` of a segment, whose plain text is then made of the found ones only.
     """
-    return ranked.join(articles.select(key, "title", "pure_text"), "title", how).select(
-        "rank", "title", key, "pure_text"
-    )
+    column = "pure_text" if "pure_text" in articles.columns else "body"
+    text = F.col(column) if column == "pure_text" else pure_text(F.col(column))
+    joined = ranked.join(articles.select(key, "title", column), "title", how)
+    return joined.select("rank", "title", key, text.alias("pure_text"))
 
 
 def ranked_sentiment(

@@ -110,17 +110,19 @@ def test_lemmas_and_tags(spark):
         assert values(chain) == [" dog run run ", " ", " "]
 
 
-def test_entity_tags(spark):
+@pytest.mark.parametrize("limit", LIMITS)
+def test_entity_tags(spark, limit):
     rng = random.Random(5)
     lines = [" ".join(rng.choice("abcd") for _ in range(rng.randint(0, 30))) for _ in range(200)]
     phrases = {"a b": "X", "a b c d": "Y", "b": "Z", "c c": "W", "d a b": "V", "c d a a a": "U"}
     table = spark.createDataFrame(list(phrases.items()), "phrase string, tag string")
-    tagged = lexical.entity_tags(texts(spark, lines + [None]), "id", "text", table)
+    tagged = lexical.entity_tags(texts(spark, lines + [None]), "id", "text", table, limit=limit)
     found = [[tuple(p) for p in pairs] for pairs in values(tagged, "tags")]
     assert found == [brute.entity_tags(line.split(), phrases) for line in lines] + [[]]
 
 
-def test_no_entities(spark):
+@pytest.mark.parametrize("limit", [0, -1])
+def test_no_entities(spark, limit):
     none = spark.createDataFrame([], "phrase string, tag string")
-    tagged = lexical.entity_tags(texts(spark, ["a b"]), "id", "text", none)
+    tagged = lexical.entity_tags(texts(spark, ["a b"]), "id", "text", none, limit=limit)
     assert [tuple(p) for p in values(tagged, "tags")[0]] == [("a", "O"), ("b", "O")]
