@@ -334,6 +334,10 @@ FILMS = [
 ]
 ORACLES["ranked_title_sentiment"] = with_(*FILMS) + "SELECT rank, title, pos, neg, neu FROM films"
 AVERAGE_RANK = "rank() OVER (ORDER BY {0}) + (count(*) OVER (PARTITION BY {0}) - 1) / 2.0"
+ORACLES["article_polarity"] = (
+    with_(*DOC_PURE, *scored("pure", "doc_id", "pure_text"))
+    + "SELECT title, doc_id, pos, neg, neu FROM pure JOIN po USING (doc_id)"
+)
 ORACLES["rank_sentiment_corr"] = (
     with_(*FILMS, "net AS (SELECT rank AS x, pos - neg AS y FROM films)")
     + "SELECT count(*) AS n, round(corr(x, y), 6) AS pearson, round(corr(a, b), 6) AS spearman FROM "

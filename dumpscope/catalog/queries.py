@@ -361,6 +361,13 @@ def doc_polarity_lower(spark, sf_dir):
     return sentiment.with_polarity(scores)
 
 
+@query
+def article_polarity(spark, sf_dir):
+    articles = _document_articles(spark, sf_dir).select(F.struct("title", "doc_id").alias("article"), "pure_text")
+    scores = sentiment.sentence_scores(articles, "article", "pure_text", wk.lexicon(spark, sf_dir))
+    return sentiment.with_polarity(scores).select("article.title", "article.doc_id", "pos", "neg", "neu")
+
+
 @query
 def title_positions(spark, sf_dir):
     return with_position(wk.table(spark, sf_dir, "labels").select("doc_id"), "rank")

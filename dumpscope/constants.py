@@ -15,7 +15,7 @@ VERB_TAGS = ("VB", "VBD", "VBG", "VBN", "VBP", "VBZ")
 
 # Characters a whitespace strip removes, and the printable ones.
 WHITESPACE = " \t\n\r\x0b\x0c"
-PRINTABLE = r"^[\t\n\x0B\f\r\x20-\x7E]*$"
+PRINTABLE = r"^[\t-\r\x20-\x7E]*$"
 PRINTABLE_HEX = r"(?:09|0[A-Da-d]|[2-6][0-9A-Fa-f]|7[0-9A-Ea-e])"
 
 # Heading patterns, one heading per whole line.

@@ -74,7 +74,8 @@ def plain_text(text: Column) -> Column:
     text = F.regexp_replace(text, r"(?d)<ref.*", "")
     text = F.regexp_replace(text, r"(?md)^.*?</ref>", "")
     text = F.replace(text, F.lit("</ref>"), F.lit(""))
-    return F.regexp_replace(text, r"[^\w\s.!,?]", "")
+    # All but [\w\s.!,?], as an intersection: Java runs the union's complement about eight times slower.
+    return F.regexp_replace(text, r"[\W&&\S&&[^.!,?]]", "")
 
 
 def pure_text(body: Column) -> Column:

@@ -7,14 +7,8 @@ from pyspark.sql import functions as F
 
 from dumpscope.constants import ADJECTIVE_TAGS, NOUN_TAGS, VERB_TAGS
 from dumpscope.functions import text as tx
-from dumpscope.operators.tokens import (
-    INLINE_LIMIT,
-    explode_tokens,
-    filter_tokens,
-    inline_values,
-    regroup_tokens,
-    sql_list,
-)
+from dumpscope.operators.small import INLINE_LIMIT, inline_values, sql_list
+from dumpscope.operators.tokens import explode_tokens, filter_tokens, regroup_tokens
 
 CONTENT_TAGS = NOUN_TAGS + ADJECTIVE_TAGS + VERB_TAGS
 OUTSIDE = "O"

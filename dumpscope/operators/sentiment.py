@@ -9,7 +9,7 @@ from dumpscope.functions import text as tx
 from dumpscope.functions.markup import pure_text
 from dumpscope.operators.lineage import checkpointed
 from dumpscope.operators.rank import average_rank
-from dumpscope.operators.tokens import INLINE_LIMIT, inline_values, sql_list
+from dumpscope.operators.small import INLINE_LIMIT, broadcast_if_small, inline_values, sql_list
 
 SCORES = "array<struct<pos:int,neg:int>>"
 
@@ -102,11 +102,18 @@ def ranked_articles(ranked: DataFrame, articles: DataFrame, key: str, how: str =
 
     Null titles never match and duplicates multiply; ``how="left"`` keeps unmatched ranked titles. ``articles``
     has ``pure_text``, or the ``body`` of a segment, whose plain text is then made of the found ones only.
+    A ranked list of checked size goes to the articles, also for the left join, which adds the unmatched
+    titles to what was found.
     """
     column = "pure_text" if "pure_text" in articles.columns else "body"
     text = F.col(column) if column == "pure_text" else pure_text(F.col(column))
-    joined = ranked.join(articles.select(key, "title", column), "title", how)
-    return joined.select("rank", "title", key, text.alias("pure_text"))
+    found = articles.select(key, "title", column).join(broadcast_if_small(ranked), "title")
+    found = found.select("rank", "title", key, text.alias("pure_text"))
+    if how == "inner":
+        return found
+    if how != "left":
+        raise ValueError(f"unknown join: {how}")
+    return ranked.join(found.drop("title"), "rank", "left").select(found.columns)
 
 
 def ranked_sentiment(

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from dumpscope.functions import text as tx
 from dumpscope.operators.articles import containing, non_redirects
-from dumpscope.operators.tokens import INLINE_LIMIT, filter_tokens
+from dumpscope.operators.small import INLINE_LIMIT
+from dumpscope.operators.tokens import filter_tokens
 
 
 def _filtered(df, key, tokens: Column, words, name, limit, **how) -> DataFrame:

@@ -10,19 +10,7 @@ sort-merges, where adaptive execution splits hot words.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-INLINE_LIMIT = 5_000
-
-
-def inline_values(table: DataFrame, limit: int = INLINE_LIMIT) -> list | None:
-    """Rows of a small table, or None when it has more than ``limit``; never reads more than that."""
-    rows = table.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
-
-
-def sql_list(values: list[str]) -> str:
-    """String literals for ``IN``; parsed text, as building a column per literal takes far longer."""
-    quoted = (v.replace("\\", "\\\\").replace("'", "\\'") for v in values)
-    return ", ".join(f"'{v}'" for v in quoted)
+from dumpscope.operators.small import INLINE_LIMIT, inline_values, sql_list
 
 
 def explode_tokens(df: DataFrame, key: str, tokens: Column) -> DataFrame:

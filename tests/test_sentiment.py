@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from dumpscope.operators import sentiment
 from dumpscope.operators.rank import average_rank, with_position
+from dumpscope.operators.small import broadcast_if_small
 from dumpscope.operators.stats import count_rows
 
 LIMITS = [100, 0]
@@ -58,6 +59,13 @@ def test_ranked(spark, docs, lexicon, limit):
     ]
 
 
+def test_broadcast_needs_a_small_table(spark):
+    df = spark.range(10).selectExpr("id", "repeat('x', 100) AS t")
+    hinted = lambda **limits: "ResolvedHint" in broadcast_if_small(df, **limits)._jdf.queryExecution().analyzed().toString()
+    assert hinted() and hinted(rows=10)
+    assert not hinted(rows=9) and not hinted(size=900)
+
+
 def test_correlation(spark):
     rows = [(0, 5, 1), (1, 4, 0), (2, 1, 0), (3, 1, 0), (4, 0, 9)]
     films = spark.createDataFrame(rows, "rank long, pos long, neg long")
