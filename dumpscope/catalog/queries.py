@@ -146,7 +146,7 @@ def bold_paired(spark, sf_dir):
 
 @query
 def text_lines(spark, sf_dir):
-    return _long(_segments(spark, sf_dir), "page_id", markup.lines(markup.prose(F.col("body"))), "line")
+    return _long(_segments(spark, sf_dir), "page_id", markup.prose_lines(markup.lines(F.col("body"))), "line")
 
 
 @query
@@ -156,7 +156,8 @@ def plain_text(spark, sf_dir):
 
 @query
 def plain_text_all_lines(spark, sf_dir):
-    return _segments(spark, sf_dir).select("page_id", markup.plain_text(F.col("body")).alias("plain"))
+    plain = markup.plain_text(markup.lines(F.col("body")), "\n")
+    return _segments(spark, sf_dir).select("page_id", plain.alias("plain"))
 
 
 @query

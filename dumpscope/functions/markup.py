@@ -1,9 +1,12 @@
 """Structure of an article body: links, headings, bold, prose and plain text.
 
 A body is one string in which every line ends with a newline. All patterns stay inside a line unless they
-say ``(?s)``, so one pass over the body gives what a loop over lines would, without an array of lines.
+say ``(?s)``, so one pass over the body gives what a loop over lines would. Plain text alone works on the list of
+lines, as it can skip most of them.
 """
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,48 +42,76 @@ def wikilinks_nested(body: Column) -> Column:
     return _topics(F.transform(raw, strip))
 
 
-def headings(body: Column, kind: str = "headings") -> Column:
-    """Headings of a kind (all levels, or ``headings_level2`` .. ``headings_level5``) without their ``=``."""
-    found = F.regexp_extract_all(body, F.lit(HEADING_PATTERNS[kind]), F.lit(0))
+def heading_lines(body: Column) -> Column:
+    """Whole lines that are headings of any level."""
+    return F.regexp_extract_all(body, F.lit(HEADING_PATTERNS["headings"]), F.lit(0))
+
+
+def headings_among(found: Column, kind: str = "headings") -> Column:
+    """Of some heading lines those of a kind (all, or ``headings_level2`` .. ``headings_level5``), without ``=``."""
+    if kind != "headings":
+        found = F.filter(found, lambda h: h.rlike(HEADING_PATTERNS[kind]))
     return F.transform(found, lambda h: F.btrim(h, F.lit("=")))
 
 
+def headings(body: Column, kind: str = "headings") -> Column:
+    return headings_among(heading_lines(body), kind)
+
+
 def bold(body: Column, mode: str = "lookaround") -> Column:
     """Runs of word and space characters between ``'''`` marks.
 
     ``lookaround`` consumes no marks, so the text between two bold runs counts as well; ``paired``
     takes marks two by two.
     """
-    run = r"[\w \t\x0B\f\r]*"
+    run = r"([\w \t\x0B\f\r]*)"
     if mode == "lookaround":
-        return F.regexp_extract_all(body, F.lit(f"(?<='{{3}}){run}(?='{{3}})"), F.lit(0))
-    if mode == "paired":
-        return F.regexp_extract_all(body, F.lit(f"'''({run})'''"), F.lit(1))
-    raise ValueError(f"unknown bold mode: {mode}")
+        # Starts at the last quote of a mark, so that only quotes are looked back from.
+        pattern = f"'(?<='{{3}}){run}(?='{{3}})"
+    elif mode == "paired":
+        pattern = f"'''{run}'''"
+    else:
+        raise ValueError(f"unknown bold mode: {mode}")
+    return F.regexp_extract_all(body, F.lit(pattern), F.lit(1))
 
 
-def prose(body: Column) -> Column:
+def prose_lines(found: Column) -> Column:
     """Only the lines that start with a word character, or with ``[[`` that opens no file link."""
-    return F.regexp_replace(body, r"(?md)^(?!\w|\[\[(?!File:))[^\n]*\n", "")
-
-
-def plain_text(text: Column) -> Column:
-    """Drop templates, references and their unbalanced remains per line, then all other markup characters."""
-    text = F.regexp_replace(text, r"(?d)\{\{.*?\}\}", "")
-    text = F.regexp_replace(text, r"(?d)\{\{.*", "")
-    text = F.regexp_replace(text, r"(?md)^.*?\}\}", "")
-    text = F.replace(text, F.lit("}}"), F.lit(""))
-    text = F.regexp_replace(text, r"(?d)<ref.*?</ref>", "")
-    text = F.regexp_replace(text, r"(?d)<ref.*", "")
-    text = F.regexp_replace(text, r"(?md)^.*?</ref>", "")
-    text = F.replace(text, F.lit("</ref>"), F.lit(""))
+    return F.filter(found, lambda x: x.rlike(r"^(?:\w|\[\[(?!File:))"))
+
+
+def _without_spans(found: Column, opening: str, closing: str) -> Column:
+    """Cut closed spans, the rest after an opening and all up to the first closing out of each line.
+
+    Most lines hold neither mark, so a plain search decides whether a pattern runs at all.
+    """
+    a, b = re.escape(opening), re.escape(closing)
+
+    def closed(line: Column) -> Column:
+        cut = F.regexp_replace(F.regexp_replace(line, f"(?d){a}.*?{b}", ""), f"(?d){a}.*", "")
+        return F.when(line.contains(opening), cut).otherwise(line)
+
+    def unopened(line: Column) -> Column:
+        cut = F.replace(F.regexp_replace(line, f"(?d)^.*?{b}", ""), F.lit(closing), F.lit(""))
+        return F.when(line.contains(closing), cut).otherwise(line)
+
+    return F.transform(F.transform(found, closed), unopened)
+
+
+def plain_text(found: Column, end: str) -> Column:
+    """Drop templates, references and their unbalanced remains per line, then all other markup characters.
+
+    ``end`` follows each line.
+    """
+    cut = _without_spans(_without_spans(found, "{{", "}}"), "<ref", "</ref>")
+    text = F.when(F.size(found) > 0, F.concat(F.array_join(cut, end), F.lit(end))).otherwise("")
     # All but [\w\s.!,?], as an intersection: Java runs the union's complement about eight times slower.
-    return F.regexp_replace(text, r"[\W&&\S&&[^.!,?]]", "")
+    return F.regexp_replace(text, r"[\W&&\S&&[^.!,?]]+", "")
 
 
-def pure_text(body: Column) -> Column:
-    """Plain text of the prose lines, each followed by a blank."""
-    return F.translate(plain_text(prose(body)), "\n", " ")
+def pure_text(found: Column) -> Column:
+    """Plain text of the prose among the lines, each followed by a blank."""
+    return plain_text(prose_lines(found), " ")
 
 
 def strip_markup(body: Column) -> Column:

@@ -18,18 +18,24 @@ LISTS = (
 
 
 def extract(segments: DataFrame, bold_mode: str = "lookaround") -> DataFrame:
-    """Article columns from ``title`` and ``body``; all other columns are kept in front."""
+    """Article columns from ``title`` and ``body``; all other columns are kept in front.
+
+    Lines and heading lines are found first, as several columns are made of them.
+    """
     body = F.col("body")
     others = [c for c in segments.columns if c not in ("title", "body")]
-    headings = [markup.headings(body, c).alias(c) for c in LISTS if c.startswith("headings")]
-    return segments.select(
+    found = segments.select(
+        *others, "title", "body", markup.lines(body).alias("lines"), markup.heading_lines(body).alias("_headings")
+    )
+    headings = [markup.headings_among(F.col("_headings"), c).alias(c) for c in LISTS if c.startswith("headings")]
+    return found.select(
         *others,
         "title",
-        markup.lines(body).alias("lines"),
+        "lines",
         markup.wikilinks(body).alias("wikilinks"),
         *headings,
         markup.bold(body, bold_mode).alias("text_in_bold"),
-        markup.pure_text(body).alias("pure_text"),
+        markup.pure_text(F.col("lines")).alias("pure_text"),
     )
 
 

@@ -70,8 +70,10 @@ def _containing(records: DataFrame, marker: str, kept: str, clean, normalise) ->
 def _prefixed(records: DataFrame, marker: str, kept: str, clean, normalise, on_bad_title: str) -> DataFrame:
     others = [c for c in records.columns if c != "value"]
     value = F.col("value")
-    # Characters the ASCII step removes may stand before a marker, as a byte order mark does.
-    title_line = r"(?m)^[^\x00-\x7F]*" + re.escape(marker) + r"[^\r\n]*(?=[\r\n])"
+    # A title line starts with the marker, or with a few characters the ASCII step removes, as a byte order mark.
+    # The marker stands first in the pattern, so that the search for it is a plain one.
+    literal = re.escape(marker)
+    title_line = literal + r"(?<=(?:^|[\r\n])[^\x00-\x7F]{0,9}" + literal + r")[^\r\n]*(?=[\r\n])"
 
     def title_of(line: Column) -> Column:
         blanks = F.translate(strip(clean(line)), WHITESPACE, " " * len(WHITESPACE))
