@@ -36,3 +36,19 @@ def test_query(spark, connection, sf_dir, name):
 
 def test_entry(spark):
     assert entry(spark).count() == 20
+
+
+@pytest.mark.parametrize(
+    "name", ["doc_polarity_joined", "dictionary_text_joined", "lemma_text", "entity_tags_joined", "word_counts", "ranked_title_left"]
+)
+def test_without_automatic_broadcast(spark, connection, sf_dir, name):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        rows = queries()[name](spark, sf_dir).collect()
+        columns = queries()[name](spark, sf_dir).columns
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    cursor = connection.execute(oracle_sql()[name])
+    expected = rows_of([d[0] for d in cursor.description], cursor.fetchall())
+    assert rows_of(columns, rows) == expected
