@@ -26,3 +26,21 @@ HEADING_PATTERNS = {
     "headings_level4": r"(?md)^====[^=].*[^=]====$",
     "headings_level5": r"(?md)^=====[^=].*[^=]=====$",
 }
+
+# Link, bold and prose patterns, and the marks of templates and references.
+LINK = r"(?d)\[\[(.*?)\]\]"
+NESTED_LINK = r"(?d)\[\[(?=(.*?)\]\])"
+BOLD_RUN = r"([\w \t\x0B\f\r]*)"
+BOLD_BETWEEN = f"'(?<='{{3}}){BOLD_RUN}(?='{{3}})"
+BOLD_PAIRED = f"'''{BOLD_RUN}'''"
+PROSE_LINE = r"^(?:\w|\[\[(?!File:))"
+SPANS = (("{{", "}}"), ("<ref", "</ref>"))
+NO_PLAIN_TEXT = r"[\W&&\S&&[^.!,?]]+"  # all but [\w\s.!,?]
+
+# References, external links, citation addresses and their domains.
+REF_OPEN, REF_CLOSE = "<ref", "</ref>"
+EXTERNAL_LINK = r"(?md)^.*?\[(https?://[^\]\s]*)[^\]\n]*\]"
+CITATION_KEY = "url="
+CITATION_URI = r"url=\s*([^\s|]*)"
+ABSOLUTE_URI = r"^\w+://"
+DOMAIN = r"^\w+://([^/?\s$]*)"

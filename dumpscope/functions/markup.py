@@ -10,7 +10,17 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dumpscope.constants import HEADING_PATTERNS, PRINTABLE
+from dumpscope.constants import (
+    BOLD_BETWEEN,
+    BOLD_PAIRED,
+    HEADING_PATTERNS,
+    LINK,
+    NESTED_LINK,
+    NO_PLAIN_TEXT,
+    PRINTABLE,
+    PROSE_LINE,
+    SPANS,
+)
 from dumpscope.functions.titles import strip
 
 
@@ -33,12 +43,12 @@ def _topics(links: Column) -> Column:
 
 def wikilinks(body: Column) -> Column:
     """Topics of ``[[..]]`` links, non-overlapping, each up to the next ``]]``."""
-    return _topics(F.regexp_extract_all(body, F.lit(r"(?d)\[\[(.*?)\]\]"), F.lit(1)))
+    return _topics(F.regexp_extract_all(body, F.lit(LINK), F.lit(1)))
 
 
 def wikilinks_nested(body: Column) -> Column:
     """Topics of every ``[[`` that some ``]]`` follows on its line, nested ones included, stripped."""
-    raw = F.regexp_extract_all(body, F.lit(r"(?d)\[\[(?=(.*?)\]\])"), F.lit(1))
+    raw = F.regexp_extract_all(body, F.lit(NESTED_LINK), F.lit(1))
     return _topics(F.transform(raw, strip))
 
 
@@ -64,20 +74,16 @@ def bold(body: Column, mode: str = "lookaround") -> Column:
     ``lookaround`` consumes no marks, so the text between two bold runs counts as well; ``paired``
     takes marks two by two.
     """
-    run = r"([\w \t\x0B\f\r]*)"
-    if mode == "lookaround":
-        # Starts at the last quote of a mark, so that only quotes are looked back from.
-        pattern = f"'(?<='{{3}}){run}(?='{{3}})"
-    elif mode == "paired":
-        pattern = f"'''{run}'''"
-    else:
+    patterns = {"lookaround": BOLD_BETWEEN, "paired": BOLD_PAIRED}
+    if mode not in patterns:
         raise ValueError(f"unknown bold mode: {mode}")
-    return F.regexp_extract_all(body, F.lit(pattern), F.lit(1))
+    # The lookaround starts at the last quote of a mark, so that only quotes are looked back from.
+    return F.regexp_extract_all(body, F.lit(patterns[mode]), F.lit(1))
 
 
 def prose_lines(found: Column) -> Column:
     """Only the lines that start with a word character, or with ``[[`` that opens no file link."""
-    return F.filter(found, lambda x: x.rlike(r"^(?:\w|\[\[(?!File:))"))
+    return F.filter(found, lambda x: x.rlike(PROSE_LINE))
 
 
 def _without_spans(found: Column, opening: str, closing: str) -> Column:
@@ -103,10 +109,12 @@ def plain_text(found: Column, end: str) -> Column:
 
     ``end`` follows each line.
     """
-    cut = _without_spans(_without_spans(found, "{{", "}}"), "<ref", "</ref>")
-    text = F.when(F.size(found) > 0, F.concat(F.array_join(cut, end), F.lit(end))).otherwise("")
-    # All but [\w\s.!,?], as an intersection: Java runs the union's complement about eight times slower.
-    return F.regexp_replace(text, r"[\W&&\S&&[^.!,?]]+", "")
+    cut = found
+    for opening, closing in SPANS:
+        cut = _without_spans(cut, opening, closing)
+    text = F.array_join(F.transform(cut, lambda line: F.concat(line, F.lit(end))), "")
+    # An intersection of classes: Java runs the complement of their union about eight times slower.
+    return F.regexp_replace(text, NO_PLAIN_TEXT, "")
 
 
 def pure_text(found: Column) -> Column:
