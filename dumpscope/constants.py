@@ -39,7 +39,7 @@ NO_PLAIN_TEXT = r"[\W&&\S&&[^.!,?]]+"  # all but [\w\s.!,?]
 
 # References, external links, citation addresses and their domains.
 REF_OPEN, REF_CLOSE = "<ref", "</ref>"
-EXTERNAL_LINK = r"(?md)^.*?\[(https?://[^\]\s]*)[^\]\n]*\]"
+EXTERNAL_LINK = r"(?md)^.*?\[(https?://[^\]\s]*+)[^\]\n]*+\]"
 CITATION_KEY = "url="
 CITATION_URI = r"url=\s*([^\s|]*)"
 ABSOLUTE_URI = r"^\w+://"
