@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dumpscope.llm import classifier, decontaminate, html_text, idfile, jaccard, licences, packing, quality_rules, warc
+from dumpscope.llm import classifier, decontaminate, html_text, idfile, jaccard, licences, lm, packing, quality_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,6 +65,11 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfile.round_trip(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
