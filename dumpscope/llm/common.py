@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: Texts handled at once in a task are cut into runs of about so many bytes.
-RUN_BYTES = 8 << 20
+RUN_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -26,7 +26,7 @@ from dumpscope.llm.common import crc, new_path, runs, written
 from dumpscope.llm.tokens import END_ID, encoder
 
 #: Documents in a range; the driver keeps one number for each range.
-DOCS_PER_RANGE = 20_000
+DOCS_PER_RANGE = 10_000
 BLOCK_IDS = 1 << 20
 BLOCK = "shard int, start long, doc_ids array<long>, lengths array<int>, n long, control binary, data binary"
 
