@@ -42,7 +42,7 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
-def runs(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def runs(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = RUN_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Consecutive rows of bounded total size, with the UTF-8 of their texts."""
     for batch in batches:
         texts = as_bytes(batch.column(text))
@@ -50,7 +50,7 @@ def runs(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tupl
         first = 0
         while first < len(texts):
             base = int(ends[first - 1]) if first else 0
-            last = max(first + 1, int(np.searchsorted(ends, base + RUN_BYTES, "right")))
+            last = max(first + 1, int(np.searchsorted(ends, base + size, "right")))
             yield batch.slice(first, last - first), texts[first:last]
             first = last
 

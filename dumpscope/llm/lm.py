@@ -37,12 +37,25 @@ DISCOUNT = 0.75
 END = b"\n"
 BITS = np.int64(21)
 KEYS = 1 << 22
+#: Bytes of text that are scored in step.
+STEP_BYTES = 16 << 20
 
 
 def tokens_of(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
+def _flat(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The tokens of all texts and the number of each text's."""
+    tokens, lengths = [], []
+    for text in texts:
+        own = text.lower().split()
+        tokens += own
+        tokens.append(END)
+        lengths.append(len(own) + 1)
+    return tokens, np.array(lengths, np.int64)
+
+
 def _summed(parts: list[np.ndarray], names: tuple[str, str]) -> pa.RecordBatch:
     keys, counts = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.int64),) * 2
     return pa.record_batch([pa.array(keys), pa.array(counts.astype(np.int64))], names=list(names))
@@ -54,8 +67,8 @@ def unigrams(train: DataFrame) -> DataFrame:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, parts, size = WordHash(), [], 0
         for _, texts in runs(batches):
-            parts += [as_long(hashes.of(tokens_of(t))) for t in texts]
-            size += sum(map(len, parts[-len(texts) :]))
+            parts.append(as_long(hashes.of(_flat(texts)[0])))
+            size += len(parts[-1])
             if size > KEYS:
                 yield _summed(parts, ("h", "n"))
                 parts, size = [], 0
@@ -125,15 +138,17 @@ def ngrams(train: DataFrame, words: Words) -> DataFrame:
         words = shared.value
         lookup, parts, size = Lookup(words.hashes), [], 0
         for _, texts in runs(batches):
-            for text in texts:
-                at = lookup.of(tokens_of(text))
-                ids = np.concatenate([[words.begin], np.where(at < 0, 0, words.ids[at]) if len(words.ids) else at * 0])
-                a, b = ids[:-1], ids[1:]
-                parts.append(((a << BITS) | b)[(a > 0) & (b > 0)])
-                low = (ids > 0) & ((ids <= words.core) | (ids == words.begin))
-                three = low[:-2] & low[1:-1] & low[2:]
-                parts.append(((ids[:-2] << (2 * BITS)) | (ids[1:-1] << BITS) | ids[2:])[three])
-                size += len(ids)
+            tokens, lengths = _flat(texts)
+            at = lookup.of(tokens)
+            own = np.where(at < 0, 0, words.ids[at]) if len(words.ids) else at * 0
+            # Between texts stand a 0, which no n-gram goes over, and the context of a beginning.
+            ids = np.insert(own, np.repeat(np.cumsum(lengths) - lengths, 2), np.tile([0, words.begin], len(lengths)))
+            a, b = ids[:-1], ids[1:]
+            parts.append(((a << BITS) | b)[(a > 0) & (b > 0) & (b < words.begin)])
+            low = (ids > 0) & ((ids <= words.core) | (ids == words.begin))
+            three = low[:-2] & low[1:-1] & low[2:]
+            parts.append(((ids[:-2] << (2 * BITS)) | (ids[1:-1] << BITS) | ids[2:])[three])
+            size += len(ids)
             if size > KEYS:
                 yield _summed(parts, ("key", "n"))
                 parts, size = [], 0
@@ -159,36 +174,37 @@ class Automaton:
     fail: np.ndarray
     backoff: np.ndarray
 
-    def scores(self, ids: list[np.ndarray], unigram: list[np.ndarray]) -> np.ndarray:
-        """Sum of log10-probabilities of each text: word ids, and the log-probability of each word by itself."""
-        out = np.zeros(len(ids))
-        order = np.argsort([-len(x) for x in ids], kind="stable")
-        lengths = np.array([len(ids[k]) for k in order])
+    def scores(self, ids: np.ndarray, alone: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Sum of log10-probabilities of each text, from the word ids of all texts and each word's log-probability by itself."""
+        out = np.zeros(len(lengths))
         if not len(lengths):
             return out
-        # Words by step: all first words, all second words and so on.
-        flat, alone = np.concatenate([ids[k] for k in order]), np.concatenate([unigram[k] for k in order])
-        starts = np.cumsum(lengths) - lengths
+        # At each step the texts that go on are the first ones.
+        order = np.argsort(-lengths, kind="stable")
+        flat, starts, lengths = ids, (np.cumsum(lengths) - lengths)[order], lengths[order]
         active = np.searchsorted(-lengths, -np.arange(lengths[0]), "left")
-        states, total = np.full(len(ids), self.words.begin), np.zeros(len(ids))
+        states, total = np.full(len(starts), self.words.begin), np.zeros(len(starts))
         for step, m in enumerate(active.tolist()):
             at = starts[:m] + step
             word, state = flat[at], states[:m].copy()
             weight, left = np.zeros(m), np.arange(m)
-            while len(left):
-                s, w = state[left], word[left]
-                key = (s << BITS) | w
-                k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1) if len(self.keys) else np.zeros(len(left), int)
-                hit = (self.keys[k] == key) & (w > 0) & (s > 0) if len(self.keys) else np.zeros(len(left), bool)
-                weight[left[hit]] += self.logp[k[hit]]
-                state[left[hit]] = self.onto[k[hit]]
-                empty = ~hit & (s == 0)
-                weight[left[empty]] += alone[at[left[empty]]]
-                state[left[empty]] = w[empty]
-                back = ~hit & (s > 0)
-                weight[left[back]] += self.backoff[s[back]]
-                state[left[back]] = self.fail[s[back]]
-                left = left[back]
+            s, w = state, word
+            while True:
+                k = np.searchsorted(self.keys, (s << BITS) | w)
+                hit = self.keys[k] == (s << BITS) | w
+                on, k = left[hit], k[hit]
+                weight[on] += self.logp[k]
+                state[on] = self.onto[k]
+                left, s, w = left[~hit], s[~hit], w[~hit]
+                empty = s == 0
+                on = left[empty]
+                weight[on] += alone[at[on]]
+                state[on] = w[empty]
+                left, s, w = left[~empty], s[~empty], w[~empty]
+                if not len(left):
+                    break
+                weight[left] += self.backoff[s]
+                s = self.fail[s]
             total[:m] += weight
             states[:m] = state
         out[order] = total
@@ -247,7 +263,9 @@ def automaton(words: Words, keys: np.ndarray, counts: np.ndarray) -> Automaton:
     onto = np.concatenate([state_of(a, b), state_of(second, c)])
     order = np.argsort(arcs)
     fail = np.concatenate([np.zeros(begin + 1, np.int64), pairs & mask])
-    return Automaton(words, arcs[order], logp[order], onto[order], fail, np.concatenate([back_one, back_two]))
+    # A last arc, that of no word, keeps every search inside.
+    arcs, logp, onto = np.append(arcs[order], np.iinfo(np.int64).max), np.append(logp[order], 0.0), np.append(onto[order], 0)
+    return Automaton(words, arcs, logp, onto, fail, np.concatenate([back_one, back_two]))
 
 
 def _parts(docs: DataFrame, model: Automaton) -> DataFrame:
@@ -260,23 +278,17 @@ def _parts(docs: DataFrame, model: Automaton) -> DataFrame:
         logp = np.append(words.logp(words.counts.astype(float)), 0.0)  # the last, for -1, is added later
         known_ids = np.append(words.ids, 0)
         row = TaskContext.get().partitionId() << 33
-        for batch, texts in runs(batches):
-            ids, alone, rare = [], [], []
-            n, known, base = [], [], []
-            for text in texts:
-                tokens = tokens_of(text)
-                at = lookup.of(tokens)
-                ids.append(known_ids[at])
-                alone.append(logp[at])
-                missing = np.flatnonzero(at < 0).tolist()
-                rare.append(np.array([xxhash.xxh3_64_intdigest(tokens[k]) for k in missing], np.uint64))
-                n.append(len(tokens))
-                known.append(len(tokens) - len(missing))
-                base.append(alone[-1].sum())
-            lists = list_column(as_long(np.concatenate(rare)), np.array([len(r) for r in rare]), pa.int64())
+        for batch, texts in runs(batches, size=STEP_BYTES):
+            tokens, lengths = _flat(texts)
+            at = lookup.of(tokens)
+            starts = np.cumsum(lengths) - lengths
+            alone = logp[at]
+            missing = np.add.reduceat(at < 0, starts, dtype=np.int64)
+            rare = np.array([xxhash.xxh3_64_intdigest(tokens[k]) for k in np.flatnonzero(at < 0).tolist()], np.uint64)
             columns = [
-                pa.array(np.arange(row, row + len(texts))), batch.column("doc_id"), batch.column("held_out"), pa.array(n, pa.int64()),
-                pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(model.scores(ids, alone)), lists,
+                pa.array(np.arange(row, row + len(texts))), batch.column("doc_id"), batch.column("held_out"), pa.array(lengths),
+                pa.array(lengths - missing), pa.array(np.add.reduceat(alone, starts)),
+                pa.array(model.scores(known_ids[at], alone, lengths)), list_column(as_long(rare), missing, pa.int64()),
             ]
             row += len(texts)
             yield pa.record_batch(columns, names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare"])
