@@ -28,6 +28,8 @@ THRESHOLD = 0.5
 FALSE_ALARM = 0.002
 PRIOR = 20.0
 ROUNDS = 60
+#: Rejected keys up to this many are broadcast, 16 bytes each; beyond, the join is shuffled.
+BROADCAST_ROWS = 1_000_000
 
 #: Statistic by which each rule votes, junk condition, clean condition; in between the rule abstains.
 RULES: dict[str, tuple[str, str]] = {
@@ -147,9 +149,16 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, all columns as given."""
-    model = fit(written(statistics(docs).select("stats.*"), "rules"))
-    good = ~base_failed() & (posterior(model) >= THRESHOLD)
-    judged = statistics(docs).select("row", "stats.*").filter(good)
-    return judged.select("row.*")
+    """The documents that the rules keep, all columns as given.
 
+    The verdicts come from the written statistics, by key and hash of the text: a filter on the statistics themselves
+    would be moved below them and compute lists anew for each of their elements.
+    """
+    text = F.xxhash64(F.coalesce("row.text", F.lit("")))
+    stats = written(statistics(docs).select(F.col("row.doc_id").alias("rejected_id"), text.alias("rejected_text"), "stats.*"), "rules")
+    good = ~base_failed() & (posterior(fit(stats)) >= THRESHOLD)
+    rejected = written(stats.filter(~good).select("rejected_id", "rejected_text").distinct(), "rejected")
+    if rejected.count() <= BROADCAST_ROWS:
+        rejected = F.broadcast(rejected)
+    same = docs["doc_id"].eqNullSafe(F.col("rejected_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("rejected_text"))
+    return docs.join(rejected, same, "left_anti")
