@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dumpscope.constants import ADJECTIVE_TAGS, NOUN_TAGS, VERB_TAGS
 from dumpscope.functions import text as tx
 from dumpscope.operators.small import INLINE_LIMIT, inline_values, sql_list
-from dumpscope.operators.tokens import explode_tokens, filter_tokens, regroup_tokens
+from dumpscope.operators.tokens import explode_tokens, filter_tokens, numbered, regroup_tokens
 
 CONTENT_TAGS = NOUN_TAGS + ADJECTIVE_TAGS + VERB_TAGS
 OUTSIDE = "O"
@@ -49,18 +49,20 @@ def lemmatise(
     df: DataFrame, key: str, text: str, word_tags: DataFrame, lemmas: DataFrame, name: str = "text"
 ) -> DataFrame:
     """``key`` and the text with every whitespace token replaced by its lemma."""
-    tokens = explode_tokens(df, key, tx.blank_tokens(F.col(text)))
-    replaced = regroup_tokens(lemma_tokens(tokens, word_tags, lemmas), key)
-    return replaced.select(key, tx.join_tokens(F.col("tokens")).alias(name))
+    rows = numbered(df, key, tx.blank_tokens(F.col(text)).alias("_list"))
+    tokens = explode_tokens(rows, "_id", F.col("_list"))
+    replaced = regroup_tokens(lemma_tokens(tokens, word_tags, lemmas), "_id")
+    return replaced.select(F.col("_id.key").alias(key), tx.join_tokens(F.col("tokens")).alias(name))
 
 
 def keep_tagged(
     df: DataFrame, key: str, text: str, word_tags: DataFrame, tags=CONTENT_TAGS, name: str = "text"
 ) -> DataFrame:
     """``key`` and the whitespace tokens of the text whose tag is one of ``tags``, framed by blanks."""
-    tokens = explode_tokens(df, key, tx.blank_tokens(F.col(text)))
-    kept = regroup_tokens(tagged_tokens(tokens, word_tags, tags), key)
-    return kept.select(key, _framed(F.col("tokens")).alias(name))
+    rows = numbered(df, key, tx.blank_tokens(F.col(text)).alias("_list"))
+    tokens = explode_tokens(rows, "_id", F.col("_list"))
+    kept = regroup_tokens(tagged_tokens(tokens, word_tags, tags), "_id")
+    return kept.select(F.col("_id.key").alias(key), _framed(F.col("tokens")).alias(name))
 
 
 def normalise_text(
@@ -76,9 +78,10 @@ def normalise_text(
     """Stop words out, lemmas in, then nouns, adjectives and verbs only; tokens are grouped once."""
     words = tx.words(F.coalesce(text, F.lit("")))
     kept = filter_tokens(df, key, words, stop_words, keep=False, limit=limit)
-    tokens = lemma_tokens(explode_tokens(kept, key, F.col("tokens")), word_tags, lemmas)
-    content = regroup_tokens(tagged_tokens(tokens, word_tags), key)
-    return content.select(key, _framed(F.col("tokens")).alias(name))
+    rows = explode_tokens(numbered(kept, key, F.col("tokens")), "_id", F.col("tokens"))
+    tokens = lemma_tokens(rows, word_tags, lemmas)
+    content = regroup_tokens(tagged_tokens(tokens, word_tags), "_id")
+    return content.select(F.col("_id.key").alias(key), _framed(F.col("tokens")).alias(name))
 
 
 def _grams(n: int) -> Column:
@@ -120,10 +123,11 @@ def _joined_hits(texts: DataFrame, key: str, phrases: DataFrame, lengths: list[i
         return F.filter(grams, lambda g: g["phrase"].isNotNull())
 
     every = F.concat(*[placed(n) for n in sorted({1, *lengths})])
-    rows = texts.repartition(key).select(key, F.explode_outer(every).alias("_gram")).select(key, "_gram.*")
+    texts = numbered(texts, key, F.col("_tokens")).repartition("_id")
+    rows = texts.select("_id", F.explode_outer(every).alias("_gram")).select("_id", "_gram.*")
     found = rows.join(phrases, "phrase", "left").filter("n = 1 OR n IS NULL OR _tag IS NOT NULL")
     gram = F.when(F.col("pos").isNotNull(), F.struct("pos", "n", "phrase", "_tag"))
-    texts = found.groupBy(key).agg(F.array_sort(F.collect_list(gram)).alias("_rows"))
+    texts = found.groupBy("_id").agg(F.array_sort(F.collect_list(gram)).alias("_rows"))
 
     following = F.concat(F.slice("_rows", 2, F.greatest(F.size("_rows"), F.lit(1))), F.array(F.lit(None)))
     rows = F.zip_with("_rows", following, lambda r, f: F.struct(r.alias("row"), f["pos"].alias("next")))
@@ -136,7 +140,7 @@ def _joined_hits(texts: DataFrame, key: str, phrases: DataFrame, lengths: list[i
         ),
     )
     tokens = F.transform(F.filter("_rows", lambda r: r["n"] == 1), lambda r: r["phrase"])
-    return texts.select(key, tokens.alias("_tokens"), hits.alias("_hits"))
+    return texts.select(F.col("_id.key").alias(key), tokens.alias("_tokens"), hits.alias("_hits"))
 
 
 def entity_tags(

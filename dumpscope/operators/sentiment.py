@@ -10,6 +10,7 @@ from dumpscope.functions.markup import lines, pure_text
 from dumpscope.operators.lineage import checkpointed
 from dumpscope.operators.rank import average_rank
 from dumpscope.operators.small import INLINE_LIMIT, broadcast_if_small, inline_values, sql_list
+from dumpscope.operators.tokens import numbered
 
 SCORES = "array<struct<pos:int,neg:int>>"
 
@@ -43,20 +44,20 @@ def _inline_scores(df: DataFrame, key: str, text: str, entries: list, lower: boo
 
 def _joined_scores(df: DataFrame, key: str, text: str, lexicon: DataFrame, lower: bool) -> DataFrame:
     """Scores of each sentence from a join of its words with the lexicon."""
-    split = df.select(key, tx.sentences(F.col(text)).alias("_sentences")).repartition(key)
-    sentences = split.select(key, F.posexplode_outer("_sentences").alias("sid", "_sentence"))
+    split = numbered(df, key, tx.sentences(F.col(text)).alias("_sentences")).repartition("_id")
+    sentences = split.select("_id", F.posexplode_outer("_sentences").alias("sid", "_sentence"))
     sentence = F.lower("_sentence") if lower else F.col("_sentence")
-    words = sentences.select(key, "sid", F.explode_outer(tx.words(sentence)).alias("term"))
+    words = sentences.select("_id", "sid", F.explode_outer(tx.words(sentence)).alias("term"))
     points = F.coalesce("score", F.lit(0))
-    scored = words.join(lexicon, "term", "left").groupBy(key, "sid")
+    scored = words.join(lexicon, "term", "left").groupBy("_id", "sid")
     scored = scored.agg(
         F.sum(F.greatest(points, F.lit(0))).cast("int").alias("pos"),
         F.sum(F.least(points, F.lit(0))).cast("int").alias("neg"),
     )
     placed = F.when(F.col("sid").isNotNull(), F.struct("sid", "pos", "neg"))
-    grouped = scored.groupBy(key).agg(F.array_sort(F.collect_list(placed)).alias("_placed"))
+    grouped = scored.groupBy("_id").agg(F.array_sort(F.collect_list(placed)).alias("_placed"))
     scores = F.transform("_placed", lambda s: F.struct(s["pos"].alias("pos"), s["neg"].alias("neg")))
-    return grouped.select(key, scores.cast(SCORES).alias("scores"))
+    return grouped.select(F.col("_id.key").alias(key), scores.cast(SCORES).alias("scores"))
 
 
 def sentence_scores(
@@ -66,9 +67,9 @@ def sentence_scores(
 
     Words match single-word terms exactly, or in lower case with ``lower``. A text that is null or empty has no
     sentences. A lexicon of up to ``limit`` terms is held in the expression, so every text is scored where
-    it lies; a larger one is joined, which needs ``key`` to be unique.
+    it lies; a larger one is joined. Keys need not be unique.
     """
-    lexicon = _summed(lexicon)
+    lexicon = _summed(lexicon.withColumn("term", F.lower("term")) if lower else lexicon)
     entries = inline_values(lexicon, limit)
     if entries is None:
         return _joined_scores(df, key, text, lexicon, lower)

@@ -45,13 +45,13 @@ def metric_stats(articles: DataFrame, metrics=METRICS) -> DataFrame:
 
 def heading_level_totals(articles: DataFrame) -> DataFrame:
     """One row: total headings overall and per level."""
-    return articles.agg(*[F.sum(length(articles, c)).alias(c) for c in LEVELS])
+    return articles.agg(*[F.coalesce(F.sum(length(articles, c)), F.lit(0)).alias(c) for c in LEVELS])
 
 
 def mean_floor(articles: DataFrame, column: str = "wikilinks") -> DataFrame:
     """One row: whole number of list entries per article."""
-    n = length(articles, column)
-    return articles.agg(F.floor(F.sum(n) / F.count("*")).alias("mean_floor"))
+    sizes = articles.select(length(articles, column).alias("n"))
+    return sizes.agg(F.expr("sum(n) div count(*)").alias("mean_floor"))
 
 
 def count_rows(df: DataFrame, name: str = "n") -> DataFrame:

@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 from dumpscope.operators.small import INLINE_LIMIT, inline_values, sql_list
 
 
+def numbered(df: DataFrame, key: str, *values: Column) -> DataFrame:
+    """``_id``, a number of the row with its ``key``, and the values: rows with equal or null keys stay apart."""
+    return df.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key")).alias("_id"), *values)
+
+
 def explode_tokens(df: DataFrame, key: str, tokens: Column) -> DataFrame:
     """``key``, ``pos``, ``token``: one row per token, or one of nulls for an empty list.
 
@@ -40,8 +45,8 @@ def filter_tokens(
 ) -> DataFrame:
     """``key`` and the ``tokens`` whose ``form`` is (or with ``keep=False`` is not) in ``words``.
 
-    ``form`` is a SQL expression over ``token``. Every key stays, if need be with an empty list. The join of a
-    large word table needs ``key`` to be unique.
+    ``form`` is a SQL expression over ``token``. Every row stays, if need be with an empty list; keys need not be
+    unique.
     """
     known = words.select(F.col(words.columns[0]).alias("_word")).filter("_word IS NOT NULL")
     rows = inline_values(known, limit)
@@ -50,6 +55,8 @@ def filter_tokens(
         test = f"coalesce({form} IN ({members}), false) = {str(keep).lower()}"
         listed = df.select(key, tokens.alias("_tokens"))
         return listed.select(key, F.expr(f"filter(_tokens, token -> {test})").alias("tokens"))
-    found = explode_tokens(df, key, tokens).join(known.distinct(), F.expr(form) == F.col("_word"), "left")
+    rows = explode_tokens(numbered(df, key, tokens.alias("_list")), "_id", F.col("_list"))
+    found = rows.join(known.distinct(), F.expr(form) == F.col("_word"), "left")
     hit = F.col("_word").isNotNull() if keep else F.col("_word").isNull()
-    return regroup_tokens(found.select(key, "pos", F.when(hit, F.col("token")).alias("token")), key)
+    grouped = regroup_tokens(found.select("_id", "pos", F.when(hit, F.col("token")).alias("token")), "_id")
+    return grouped.select(F.col("_id.key").alias(key), "tokens")
