@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dumpscope.llm.common import crc_remainder, list_column, runs, written
+from dumpscope.llm.common import bounded_batches, crc_remainder, list_column, runs, written
 
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 5, 0
@@ -76,7 +76,7 @@ def features(docs: DataFrame) -> DataFrame:
             lists = list_column(x.ravel(), np.full(len(texts), x.shape[1]), pa.float64())
             yield pa.record_batch([batch.column("doc_id"), lists], names=["doc_id", "x"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(compute, "doc_id long, x array<double>")
+    return bounded_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(compute, "doc_id long, x array<double>")
 
 
 @dataclasses.dataclass

@@ -25,6 +25,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """The same rows; from now on a session that has Spark's default gives Python a fifth of the rows at once.
+
+    Whole texts are long: a batch of the default 10,000 rows takes some 35 MB, several times over in each task.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, "2000")
+    return df
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -58,7 +69,7 @@ def runs(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = RUN_
 class WordHash(dict):
     """64-bit hash of a word, remembered; forgets everything beyond a bound, which changes no result."""
 
-    def __init__(self, bound: int = 500_000):
+    def __init__(self, bound: int = 250_000):
         self.bound = bound
 
     def __missing__(self, word: bytes) -> int:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dumpscope.llm.common import crc, new_path, runs, written
+from dumpscope.llm.common import bounded_batches, crc, new_path, runs, written
 from dumpscope.llm.tokens import END_ID, encoder
 
 #: Documents in a range; the driver keeps one number for each range.
@@ -60,7 +60,7 @@ def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
 def token_stream(docs: DataFrame, path: str | None = None, docs_per_range: int = DOCS_PER_RANGE) -> DataFrame:
     """Documents in ascending ``doc_id`` by range: shard, ids before it in the shard, doc_id, number of ids, ids."""
     n = docs.select().count()
-    dealt = docs.select(F.col("doc_id").cast("long"), "text")
+    dealt = bounded_batches(docs).select(F.col("doc_id").cast("long"), "text")
     dealt = dealt.repartitionByRange(max(1, -(-n // docs_per_range)), "doc_id").sortWithinPartitions("doc_id")
 
     def tokenise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

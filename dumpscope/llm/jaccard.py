@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dumpscope.llm.common import WordHash, as_bytes, as_long, list_column, runs, shingles, written
+from dumpscope.llm.common import WordHash, as_bytes, as_long, bounded_batches, list_column, runs, shingles, written
 from dumpscope.llm.components import components
 
 WIDTH, PERCENT = 5, 80
@@ -420,7 +420,7 @@ def compared(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
 
 def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """A row for each document: ``doc_id``, ``n_shingles``, ``component_id``."""
-    sketched = written(sketches(docs, width, percent), "sketches")
+    sketched = written(sketches(bounded_batches(docs), width, percent), "sketches")
     named = sketched.filter("signature IS NOT NULL AND doc_id IS NOT NULL")
     copies = named.groupBy("signature").agg(F.min("doc_id").alias("node"), F.count("*").alias("times"))
     copies = written(copies.filter("times > 1").select("signature", "node"), "copies")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dumpscope.llm.common import runs
+from dumpscope.llm.common import bounded_batches, runs
 
 #: The phrases and labels of the base rule.
 BASE = {
@@ -195,7 +195,7 @@ def scan(docs: DataFrame, base: Mapping[str, list[str]] = BASE, more: Mapping[st
             arrays = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
             yield pa.record_batch([batch.column("doc_id"), *arrays], names=NAMES)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
+    return bounded_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
 
 
 SCHEMA = (

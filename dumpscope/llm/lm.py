@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dumpscope.llm.common import WordHash, as_long, crc_remainder, list_column, runs, written
+from dumpscope.llm.common import WordHash, as_long, bounded_batches, crc_remainder, list_column, runs, written
 
 FOLDS, HELD_OUT = 5, 1
 #: Least shares of the training tokens: of a word to be looked up in place, of a word in n-grams, of one in trigrams, of an n-gram.
@@ -102,7 +102,7 @@ class Lookup(dict):
     """Place of a word among the frequent ones, or -1; remembered."""
 
     def __init__(self, hashes: np.ndarray):
-        self.hashes, self.bound = hashes, 500_000
+        self.hashes, self.bound = hashes, 250_000
 
     def __missing__(self, word: bytes) -> int:
         h = np.uint64(xxhash.xxh3_64_intdigest(word)).astype(np.int64)
@@ -299,7 +299,7 @@ def _parts(docs: DataFrame, model: Automaton) -> DataFrame:
 
 def scored(docs: DataFrame) -> DataFrame:
     """A row for each document: tokens, known tokens, training tokens, unigram score and model score."""
-    own = docs.select(F.col("doc_id").cast("long"), "text")
+    own = bounded_batches(docs).select(F.col("doc_id").cast("long"), "text")
     own = own.withColumn("held_out", crc_remainder("doc_id", FOLDS) == HELD_OUT)
     train = own.filter(~F.col("held_out"))
     counts = written(unigrams(train), "unigrams")

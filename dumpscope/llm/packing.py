@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dumpscope.llm.common import crc, runs
+from dumpscope.llm.common import bounded_batches, crc, runs
 from dumpscope.llm.tokens import END_ID, encoder
 
 CAPACITY = 2048
@@ -85,7 +85,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, k
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if keep_ids else [])]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES + ", ids binary" * keep_ids)
+    return bounded_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES + ", ids binary" * keep_ids)
 
 
 def packed(of: DataFrame, groups: int, capacity: int = CAPACITY, seed: int = 17) -> DataFrame:
