@@ -25,7 +25,7 @@ def test_filtered(spark, df):
 
 
 def test_scored(spark, df):
-    lexicon = spark.createDataFrame([("Good", 2), ("bad", -1)], "term string, score int")
+    lexicon = spark.createDataFrame([("good", 2), ("bad", -1)], "term string, score int")
     run = lambda limit: rows(sentiment.sentence_scores(df, "id", "text", lexicon, lower=True, limit=limit))
     assert run(10) == run(0) and len(run(0)) == 5
     assert sum(s["pos"] for _, scores in run(0) for s in scores or []) == 6
