@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zlib
@@ -36,6 +38,18 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def release() -> None:
+    """Give memory that the Python worker has freed back to the machine.
+
+    Workers live on between tasks, and their allocators would keep the most that any task so far has needed.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -55,6 +69,7 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 
 def runs(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = RUN_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Consecutive rows of bounded total size, with the UTF-8 of their texts."""
+    release()
     for batch in batches:
         texts = as_bytes(batch.column(text))
         ends = np.cumsum([len(x) for x in texts]) if texts else np.zeros(0, int)
@@ -64,6 +79,8 @@ def runs(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = RUN_
             last = max(first + 1, int(np.searchsorted(ends, base + size, "right")))
             yield batch.slice(first, last - first), texts[first:last]
             first = last
+        del batch, texts
+    release()
 
 
 class WordHash(dict):

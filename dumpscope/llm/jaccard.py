@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dumpscope.llm.common import WordHash, as_bytes, as_long, bounded_batches, list_column, runs, shingles, written
+from dumpscope.llm.common import WordHash, as_bytes, as_long, bounded_batches, list_column, release, runs, shingles, written
 from dumpscope.llm.components import components
 
 WIDTH, PERCENT = 5, 80
@@ -112,6 +112,7 @@ def _groups(batches: Iterable[pa.RecordBatch], names: list[str], keys: list[str]
 
     Runs of one row are left out in between: only the first and the last can go on in another task.
     """
+    release()
     rest: dict[str, np.ndarray] | None = None
     edge = True
     for batch in batches:
@@ -149,7 +150,7 @@ def _emit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]
     return pa.record_batch(columns, names=["a", "b", "n_a", "n_b", "seen", "chain"])
 
 
-def _flushed(pairs: Iterator[tuple], most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+def _flushed(pairs: Iterator[tuple], most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     rows, size = [], 0
     for pair in pairs:
         if len(pair[0]):
@@ -395,6 +396,7 @@ def compared(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
         hashes, head, sets = WordHash(), None, []
         parsed: dict[bytes, np.ndarray] = {}
         size = 0
+        release()
         for batch in batches:
             out = []
             keys = (batch.column(c).to_pylist() for c in ("head", "part", "doc_id"))
@@ -414,6 +416,8 @@ def compared(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
                 if any(_similar(first, s, percent) for first in sets):
                     out.append((a, b))
             yield _links(out)
+        del parsed, sets, hashes
+        release()
 
     return written(dealt.select("head", "part", "doc_id", "text").mapInArrow(compare, "a long, b long"), "similar")
 

@@ -16,7 +16,7 @@ import numpy as np
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 #: Words kept before the cache starts anew, and bytes of text in one go; they bound memory, not results.
-CACHE_WORDS, AT_ONCE = 1_000_000, 2 << 20
+CACHE_WORDS, AT_ONCE = 1_000_000, 1 << 20
 #: Letters that neither compose nor split: ASCII and Latin-1.
 _LETTERS = re.compile(rb"(?:[a-zA-Z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 _KIND = np.full(256, 4, np.uint8)
