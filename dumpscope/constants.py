@@ -38,7 +38,8 @@ SPANS = (("{{", "}}"), ("<ref", "</ref>"))
 NO_PLAIN_TEXT = r"[\W&&\S&&[^.!,?]]+"  # all but [\w\s.!,?]
 
 # References, external links, citation addresses and their domains.
-REF_OPEN, REF_CLOSE = "<ref", "</ref>"
+REF_CLOSE = "</ref>"
+OPENED_REF = r"(?s)^.*<ref(?=[\s>])(?![^>]*/>)>?(.*)$"
 EXTERNAL_LINK = r"(?md)^.*?\[(https?://[^\]\s]*+)[^\]\n]*+\]"
 CITATION_KEY = "url="
 CITATION_URI = r"url=\s*([^\s|]*)"

@@ -3,15 +3,15 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dumpscope.constants import ABSOLUTE_URI, CITATION_KEY, CITATION_URI, DOMAIN, EXTERNAL_LINK, REF_CLOSE, REF_OPEN
+from dumpscope.constants import ABSOLUTE_URI, CITATION_KEY, CITATION_URI, DOMAIN, EXTERNAL_LINK, OPENED_REF, REF_CLOSE
 
 
 def refs(body: Column) -> Column:
-    """Text from the nearest ``<ref`` or ``<ref>`` to each ``</ref>``, across lines."""
+    """Text from the nearest ``<ref `` or ``<ref>`` to each ``</ref>``, across lines; self-closing tags open nothing."""
     closed = F.split(body, REF_CLOSE)
     closed = F.slice(closed, 1, F.size(closed) - 1)
-    opened = F.filter(closed, lambda p: p.contains(REF_OPEN))
-    return F.transform(opened, lambda p: F.regexp_replace(F.substring_index(p, REF_OPEN, -1), "^>", ""))
+    opened = F.filter(closed, lambda p: p.rlike(OPENED_REF))
+    return F.transform(opened, lambda p: F.regexp_extract(p, OPENED_REF, 1))
 
 
 def external_urls(body: Column) -> Column:

@@ -1,6 +1,6 @@
 """Structure of an article body: links, headings, bold, prose and plain text.
 
-A body is one string in which every line ends with a newline. All patterns stay inside a line unless they
+A body is one string in which every line ends with a newline, but for a last one that an end marker cut. All patterns stay inside a line unless they
 say ``(?s)``, so one pass over the body gives what a loop over lines would. Plain text alone works on the list of
 lines, as it can skip most of them.
 """
@@ -24,9 +24,14 @@ from dumpscope.constants import (
 from dumpscope.functions.titles import strip
 
 
+def all_lines(body: Column) -> Column:
+    """The body's lines, and what stands before an end marker in the middle of a line, or an empty text."""
+    return F.split(body, "\n")
+
+
 def lines(body: Column) -> Column:
-    """The body's lines; an empty body has none."""
-    parts = F.split(body, "\n")
+    """The body's complete lines; an empty body has none."""
+    parts = all_lines(body)
     return F.slice(parts, 1, F.size(parts) - 1)
 
 

@@ -25,17 +25,17 @@ def extract(segments: DataFrame, bold_mode: str = "lookaround") -> DataFrame:
     body = F.col("body")
     others = [c for c in segments.columns if c not in ("title", "body")]
     found = segments.select(
-        *others, "title", "body", markup.lines(body).alias("lines"), markup.heading_lines(body).alias("_headings")
+        *others, "title", "body", markup.all_lines(body).alias("_lines"), markup.heading_lines(body).alias("_headings")
     )
     headings = [markup.headings_among(F.col("_headings"), c).alias(c) for c in LISTS if c.startswith("headings")]
     return found.select(
         *others,
         "title",
-        "lines",
+        F.slice("_lines", 1, F.size("_lines") - 1).alias("lines"),
         markup.wikilinks(body).alias("wikilinks"),
         *headings,
         markup.bold(body, bold_mode).alias("text_in_bold"),
-        markup.pure_text(F.col("lines")).alias("pure_text"),
+        markup.pure_text(F.col("_lines")).alias("pure_text"),
     )
 
 

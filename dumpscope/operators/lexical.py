@@ -14,32 +14,49 @@ CONTENT_TAGS = NOUN_TAGS + ADJECTIVE_TAGS + VERB_TAGS
 OUTSIDE = "O"
 
 
-def _one_tag(word_tags: DataFrame) -> DataFrame:
-    return word_tags.groupBy(F.col("word").alias("_word")).agg(F.min("tag").alias("_tag"))
+def _tagged(word_tags: DataFrame, tags) -> DataFrame:
+    """``_word``: words with any of the tags."""
+    return word_tags.filter(F.col("tag").isin(*tags)).select(F.col("word").alias("_word")).distinct()
+
+
+def _lemmatised(word_tags: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """``_word``, ``_lemma``: the verb lemma of words of which any tag has a ``v``, else the noun lemma, or null.
+
+    One row for each word that either table knows, from one aggregate over both.
+    """
+    is_verb, no = F.lower("tag").contains("v"), F.lit(None).cast("string")
+    of_pos = [F.when(F.col("pos") == p, F.col("lemma")).alias(p) for p in "vn"]
+    facts = word_tags.select("word", is_verb.alias("verb"), no.alias("v"), no.alias("n"))
+    facts = facts.union(lemmas.select("word", F.lit(False), *of_pos)).filter("word IS NOT NULL")
+    known = facts.groupBy(F.col("word").alias("_word")).agg(F.max("verb").alias("verb"), F.min("v").alias("v"), F.min("n").alias("n"))
+    return known.select("_word", F.when(F.col("verb"), F.col("v")).otherwise(F.col("n")).alias("_lemma"))
 
 
 def lemma_tokens(tokens: DataFrame, word_tags: DataFrame, lemmas: DataFrame) -> DataFrame:
-    """Replace each token by its verb lemma if its tag has a ``v``, else by its noun lemma, if there is one."""
+    """Replace each token by its verb lemma if any of its tags has a ``v``, else by its noun lemma, if there is one."""
     others = [c for c in tokens.columns if c != "token"]
-    tagged = tokens.join(_one_tag(word_tags), F.col("token") == F.col("_word"), "left")
-    pos = F.when(F.lower("_tag").contains("v"), "v").otherwise("n")
-    tagged = tagged.select(*others, "token", pos.alias("_pos"))
-    known = lemmas.groupBy(F.col("word").alias("_word"), F.col("pos").alias("_known")).agg(
-        F.min("lemma").alias("_lemma")
-    )
-    same = (F.col("token") == F.col("_word")) & (F.col("_pos") == F.col("_known"))
-    return tagged.join(known, same, "left").select(*others, F.coalesce("_lemma", "token").alias("token"))
+    known = _lemmatised(word_tags, lemmas).filter("_lemma IS NOT NULL")
+    found = tokens.join(known, F.col("token") == F.col("_word"), "left")
+    return found.select(*others, F.coalesce("_lemma", "token").alias("token"))
 
 
 def tagged_tokens(tokens: DataFrame, word_tags: DataFrame, tags=CONTENT_TAGS) -> DataFrame:
-    """Blank out (to null) the tokens whose tag is none of ``tags``."""
+    """Blank out (to null) the tokens with none of ``tags``."""
     others = [c for c in tokens.columns if c != "token"]
-    wanted = _one_tag(word_tags).filter(F.col("_tag").isin(*tags)).select("_word")
-    found = tokens.join(wanted, F.col("token") == F.col("_word"), "left")
+    found = tokens.join(_tagged(word_tags, tags), F.col("token") == F.col("_word"), "left")
     kept = F.when(F.col("_word").isNotNull(), F.col("token"))
     return found.select(*others, kept.alias("token"))
 
 
+def content_tokens(tokens: DataFrame, word_tags: DataFrame, lemmas: DataFrame, tags=CONTENT_TAGS) -> DataFrame:
+    """``lemma_tokens``, then ``tagged_tokens``, with one join on the tokens: the word tables are joined first."""
+    others = [c for c in tokens.columns if c != "token"]
+    forms = _lemmatised(word_tags, lemmas).select(F.col("_word").alias("_from"), F.coalesce("_lemma", "_word").alias("_form"))
+    forms = forms.join(_tagged(word_tags, tags), F.col("_form") == F.col("_word")).select("_from", "_form")
+    found = tokens.join(forms, F.col("token") == F.col("_from"), "left")
+    return found.select(*others, F.col("_form").alias("token"))
+
+
 def _framed(tokens: Column) -> Column:
     """A blank, then every token followed by a blank."""
     return F.concat(F.lit(" "), F.array_join(F.transform(tokens, lambda t: F.concat(t, F.lit(" "))), ""))
@@ -79,8 +96,7 @@ def normalise_text(
     words = tx.words(F.coalesce(text, F.lit("")))
     kept = filter_tokens(df, key, words, stop_words, keep=False, limit=limit)
     rows = explode_tokens(numbered(kept, key, F.col("tokens")), "_id", F.col("tokens"))
-    tokens = lemma_tokens(rows, word_tags, lemmas)
-    content = regroup_tokens(tagged_tokens(tokens, word_tags), "_id")
+    content = regroup_tokens(content_tokens(rows, word_tags, lemmas), "_id")
     return content.select(F.col("_id.key").alias(key), _framed(F.col("tokens")).alias(name))
 
 

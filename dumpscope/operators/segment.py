@@ -1,7 +1,5 @@
 """Dump records to articles: one row per complete article with its title and body."""
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +24,10 @@ def segment(
     last whitespace-separated piece, and starts the article at the first title line with a good title,
     dropping it when there is none. ``on_bad_title`` ("null" or "drop") overrides the default of each.
     Records without title line or end marker are junk or truncated and give no row. Every line of
-    ``body`` ends with a newline.
+    ``body`` ends with a newline; text before an end marker in the middle of a line stands last, without one.
 
-    Titles come from the raw title line alone, so that a filter on them, which the optimizer moves below
-    the projection, never normalises a whole body a second time.
+    Records are cleaned before markers are looked for, once: a filter on titles, which the optimizer moves down, finds
+    the cleaned text as a column.
     """
     if match not in ("contains", "prefix"):
         raise ValueError(f"unknown marker match: {match}")
@@ -38,7 +36,7 @@ def segment(
         raise ValueError(f"unknown bad-title policy: {on_bad_title}")
     clean = ascii_only if to_ascii else (lambda text: text)
     normalise = lambda token: normalise_title(token, namespaces)
-    kept = kept_marker(end_marker)
+    kept = kept_marker(end_marker, title_marker)
     if match == "contains":
         articles = _containing(records, title_marker, kept, clean, normalise)
     else:
@@ -46,50 +44,48 @@ def segment(
     return articles.filter("title IS NOT NULL") if on_bad_title == "drop" else articles
 
 
-def _finish(articles: DataFrame, others: list[str]) -> DataFrame:
-    """Cut the line end of the title and the line of the end marker off ``_text``."""
-    unfinished = F.length(F.substring_index("_text", "\n", -1))
-    body = F.substr("_text", F.lit(2), F.greatest(F.length("_text") - unfinished - 1, F.lit(0)))
+def _finish(articles: DataFrame, others: list[str], kept: str) -> DataFrame:
+    """Cut the line end of the title and the rest of the end marker off ``_text``."""
+    body = F.substr("_text", F.lit(2), F.greatest(F.length("_text") - len(kept) - 1, F.lit(0)))
     return articles.select(*others, "title", body.alias("body"))
 
 
+def _cleaned(records: DataFrame, kept: str, clean) -> DataFrame:
+    """Complete records with ``_clean``, a newline and the cleaned text; exploding makes it a column that no filter computes anew."""
+    others = [c for c in records.columns if c != "value"]
+    text = F.concat(F.lit("\n"), unix_newlines(clean(F.col("value"))))
+    return records.filter(F.col("value").endswith(kept)).select(*others, F.explode(F.array(text)).alias("_clean"))
+
+
 def _containing(records: DataFrame, marker: str, kept: str, clean, normalise) -> DataFrame:
     others = [c for c in records.columns if c != "value"]
-    value = F.col("value")
-    at = F.locate(marker, value)
-    rest = F.substr(value, at)
+    at = F.locate(marker, F.col("_clean"))
+    rest = F.substr("_clean", at)
     # The title line must be complete: a line that also ends the record opens no article.
-    complete = records.filter(value.endswith(kept) & (at > 0) & rest.rlike(r"[\r\n]"))
-    before = F.substring_index(F.translate(F.substr(value, F.lit(1), at - 1), "\r", "\n"), "\n", -1)
-    after = F.regexp_extract(rest, r"^[^\r\n]*", 0)
-    title = normalise(F.substring_index(strip(clean(F.concat(before, after))), " ", -1))
-    text = unix_newlines(clean(F.substr(rest, F.length(after) + 1)))
-    return _finish(complete.select(*others, title.alias("title"), text.alias("_text")), others)
+    complete = _cleaned(records, kept, clean).filter((at > 0) & rest.contains("\n"))
+    before = F.substring_index(F.substr("_clean", F.lit(1), at - 1), "\n", -1)
+    after = F.substring_index(rest, "\n", 1)
+    title = normalise(F.substring_index(strip(F.concat(before, after)), " ", -1))
+    text = F.substr(rest, F.length(after) + 1)
+    return _finish(complete.select(*others, title.alias("title"), text.alias("_text")), others, kept)
 
 
 def _prefixed(records: DataFrame, marker: str, kept: str, clean, normalise, on_bad_title: str) -> DataFrame:
     others = [c for c in records.columns if c != "value"]
-    value = F.col("value")
-    # A title line starts with the marker, or with a few characters the ASCII step removes, as a byte order mark.
-    # The marker stands first in the pattern, so that the search for it is a plain one.
-    literal = re.escape(marker)
-    title_line = literal + r"(?<=(?:^|[\r\n])[^\x00-\x7F]{0,9}" + literal + r")[^\r\n]*(?=[\r\n])"
 
     def title_of(line: Column) -> Column:
-        blanks = F.translate(strip(clean(line)), WHITESPACE, " " * len(WHITESPACE))
+        blanks = F.translate(strip(line), WHITESPACE, " " * len(WHITESPACE))
         return normalise(F.substring_index(blanks, " ", -1))
 
-    found = F.regexp_extract_all(value, F.lit(title_line), F.lit(0))
-    ended = value.rlike(r"[\r\n][^\x00-\x7F]*" + re.escape(kept) + r"\z")
-    titles = records.filter(ended & value.contains(marker)).select(
-        *others, "value", F.transform(found, title_of).alias("_titles")
-    )
+    cleaned = _cleaned(records, kept, clean)
+    title_line = r"(?d)\n\Q" + marker + r"\E[^\n]*(?=\n)"
+    found = F.regexp_extract_all("_clean", F.lit(title_line), F.lit(0))
+    titles = cleaned.select(*others, "_clean", F.transform(found, title_of).alias("_titles"))
     good = F.array_position(F.transform("_titles", lambda t: t.isNotNull()), F.lit(True)).cast("int")
     start = F.greatest(good, F.least(F.size("_titles"), F.lit(1))) if on_bad_title == "null" else good
     started = titles.select("*", start.alias("_start")).filter("_start > 0")
-    text = F.concat(F.lit("\n"), unix_newlines(clean(value)))
-    openings = F.split(text, r"\n\Q" + marker + r"\E(?=[^\n]*\n)")
+    openings = F.split("_clean", r"\n\Q" + marker + r"\E(?=[^\n]*\n)")
     rest = F.array_join(F.slice(openings, F.col("_start") + 1, F.size("_titles") + 1), "\n" + marker)
     rest = started.select(*others, F.element_at("_titles", F.col("_start")).alias("title"), rest.alias("_rest"))
     line = F.length(F.substring_index("_rest", "\n", 1))
-    return _finish(rest.select(*others, "title", F.substr("_rest", line + 1).alias("_text")), others)
+    return _finish(rest.select(*others, "title", F.substr("_rest", line + 1).alias("_text")), others, kept)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dumpscope.functions import text as tx
-from dumpscope.functions.markup import lines, pure_text
+from dumpscope.functions.markup import all_lines, pure_text
 from dumpscope.operators.lineage import checkpointed
 from dumpscope.operators.rank import average_rank
 from dumpscope.operators.small import INLINE_LIMIT, broadcast_if_small, inline_values, sql_list
@@ -107,7 +107,7 @@ def ranked_articles(ranked: DataFrame, articles: DataFrame, key: str, how: str =
     titles to what was found.
     """
     column = "pure_text" if "pure_text" in articles.columns else "body"
-    text = F.col(column) if column == "pure_text" else pure_text(lines(F.col(column)))
+    text = F.col(column) if column == "pure_text" else pure_text(all_lines(F.col(column)))
     found = articles.select(key, "title", column).join(broadcast_if_small(ranked), "title")
     found = found.select("rank", "title", key, text.alias("pure_text"))
     if how == "inner":

@@ -13,9 +13,11 @@ from dumpscope.sources.sinks import write_table
 def articles_table(spark: SparkSession, dump: str | list[str], path: str, **how) -> DataFrame:
     """Parse the dump, write the articles with their list lengths as Parquet, and read them back.
 
-    Every report scans the written columns it needs; the dump itself is parsed once.
+    Every report scans the written columns it needs; the dump itself is parsed once. ``how`` goes to ``segment``, its
+    markers to the reader too.
     """
-    write_table(with_counts(extract(segment(read_dump(spark, dump), **how))), path)
+    markers = {k: v for k, v in how.items() if k in ("end_marker", "title_marker")}
+    write_table(with_counts(extract(segment(read_dump(spark, dump, **markers), **how))), path)
     return spark.read.parquet(path)
 
 

@@ -80,9 +80,15 @@ def pure(lines):
 
 
 def ref_bodies(text):
-    pieces = text.split("</ref>")[:-1]
-    opened = [p.rsplit("<ref", 1)[1] for p in pieces if "<ref" in p]
-    return [p[1:] if p.startswith(">") else p for p in opened]
+    found = []
+    for piece in text.split("</ref>")[:-1]:
+        for at in range(len(piece) - 4, -1, -1):
+            rest = piece[at + 4 :]
+            tag, closed, _ = rest.partition(">")
+            if piece.startswith("<ref", at) and rest[:1] in SPACE | {">"} and rest and not (closed and tag.endswith("/")):
+                found.append(rest.removeprefix(">"))
+                break
+    return found
 
 
 def title(raw):
@@ -123,14 +129,15 @@ def articles(files, prefix):
     found = []
     for text in files:
         current = None
-        for line in text.split("\n"):
+        for line in text.replace("\r\n", "\n").replace("\r", "\n").split("\n"):
+            line = "".join(c for c in line if ord(c) < 128)
             has = line.startswith if prefix else line.__contains__
             if current is None:
                 if has(TITLE_MARKER):
                     name = title(line.split()[-1] if prefix else line.strip().split(" ")[-1])
                     if name is not None or not prefix:
                         current = (name, [])
-            elif has(END_MARKER):
+            elif END_MARKER in line:
                 found.append(current)
                 current = None
             else:

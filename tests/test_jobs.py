@@ -69,6 +69,34 @@ def test_entities(spark, dump, tmp_path):
     assert sorted(tuple(r) for r in found) == [("Plain", "PERSON"), ("Second", "O1"), ("start", "PERSON")]
 
 
+def test_own_markers(spark, tmp_path):
+    (tmp_path / "dump").write_text("@@T@@ One\na\n##END##\n@@T@@ Two\nb\n##END##\n")
+    how = {"title_marker": "@@T@@", "end_marker": "##END##"}
+    found = article_report.articles_table(spark, str(tmp_path / "dump"), str(tmp_path / "table"), **how)
+    assert sorted(tuple(r) for r in found.select("title", "lines").collect()) == [("One", ["a"]), ("Two", ["b"])]
+
+
+def test_line_count_and_keyword(spark, dump, tmp_path):
+    run(spark, parser().parse_args(["line-count", dump, "--output", str(tmp_path / "lines")]))
+    assert spark.read.parquet(str(tmp_path / "lines")).first()[0] == len(DUMP.replace("\r", "").split("\n"))
+    (tmp_path / "words").write_text("unicycle\nline\n")
+    run(spark, parser().parse_args(["keyword", dump, "--dictionary", str(tmp_path / "words"), "--output", str(tmp_path / "k")]))
+    assert spark.read.parquet(str(tmp_path / "k/count")).first()[0] == 1
+    assert [r["text"] for r in spark.read.parquet(str(tmp_path / "k/texts")).collect()] == ["unicycle. line"]
+
+
+def test_normalise(spark, dump, tmp_path):
+    articles = str(tmp_path / "articles")
+    article_report.articles_table(spark, dump, articles)
+    # A word with several tags counts as each of them, and as a verb for its lemma.
+    (tmp_path / "tags").write_text("about\tIN\nline\tDT\nline\tVB\nrule\tNN\n")
+    (tmp_path / "lemmas").write_text("line\tv\trule\nline\tn\tother\n")
+    args = ["normalise", articles, "--tags", str(tmp_path / "tags"), "--lemmas", str(tmp_path / "lemmas")]
+    run(spark, parser().parse_args([*args, "--output", str(tmp_path / "out")]))
+    texts = [r["text"] for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert len(texts) == 8 and " rule " in texts
+
+
 def test_side_tables(spark, tmp_path):
     (tmp_path / "lexicon.tsv").write_text("good\t3\ncan't stand\t-3\n\"odd\t1")
     rows = tables.read_lexicon(spark, str(tmp_path / "lexicon.tsv")).collect()

@@ -88,8 +88,9 @@ def test_plain_text_cases(apply):
 
 def test_refs(apply):
     assert apply(citations.refs, BODIES) == [brute.ref_bodies(b) for b in BODIES]
-    cases = ["<ref>a\nb</ref> </ref><ref name=x>c</ref>\n", "<references/>\n<ref>d</ref>\n", "<ref>open\n"]
-    assert apply(citations.refs, cases) == [["a\nb", " name=x>c"], ["d"], []]
+    cases = ["<ref>a\nb</ref> </ref><ref name=x>c</ref>\n", "<references/>\n<ref>d</ref>\n", "<ref>open\n",
+             "<ref name=a/> loose </ref>\n", "<ref>a<ref name=b/>c</ref>\n", "<references>x</ref>\n"]
+    assert apply(citations.refs, cases) == [["a\nb", " name=x>c"], ["d"], [], [], ["a<ref name=b/>c"], []]
 
 
 def test_urls(apply):

@@ -68,7 +68,7 @@ def test_joined_scoring_shuffles_texts_once(spark, articles):
     many = spark.range(1000).selectExpr("concat('w', id) AS term", "int(id % 11 - 5) AS score")
     found = plan(sentiment.sentence_scores(articles, "article_id", "pure_text", many, limit=10))
     assert "BroadcastHashJoin" in found
-    assert len(re.findall(r"Exchange hashpartitioning\(article_id", found)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(_id#", found)) == 1
 
 
 def test_words_are_counted_before_the_shuffle(spark, articles):

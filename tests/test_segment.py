@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from dumpscope.constants import END_MARKER, TITLE_MARKER
 from dumpscope.functions.markup import lines
 from dumpscope.functions.titles import ascii_only, normalise_title
+from dumpscope.operators.articles import extract
 from dumpscope.operators.segment import segment
-from dumpscope.sources.dump import read_dump
+from dumpscope.sources.dump import kept_marker, read_dump
 
 TITLES = [
     "A%2CB", "a_b", "A%ZZ", "100%", "%2541", "%252541", "%25%34%31", "%2525", "%25", "Caf%C3%A9", "Wikipedia:X",
@@ -63,7 +64,8 @@ def random_file(rng):
     pieces = [
         f"{TITLE_MARKER} Good_{rng.randint(0, 9)}", f"{TITLE_MARKER} File:x", f" {TITLE_MARKER}\tOdd one",
         f"x {TITLE_MARKER} y", TITLE_MARKER, END_MARKER, END_MARKER, END_MARKER + " tail", "body", "", "[[a]]",
-        "$$$===", "a longer body line", TITLE_MARKER + "%41",
+        "$$$===", "a longer body line", TITLE_MARKER + "%41", f"cut {END_MARKER}", f"[[cut]] {END_MARKER} on", "é" * 12,
+        "é" * 12 + f"{TITLE_MARKER} Far_{rng.randint(0, 9)}", f"{TITLE_MARKER[:9]}é{TITLE_MARKER[9:]} Inside", "été\r",
     ]
     return "\n".join(rng.choice(pieces) for _ in range(rng.randint(1, 40))) + rng.choice(["", "\n"])
 
@@ -78,6 +80,20 @@ def test_segments_like_a_line_scanner(spark, tmp_path, match):
     assert parsed(spark, str(tmp_path), match=match) == expected
 
 
+def test_text_before_an_end_marker_is_extracted(spark, tmp_path):
+    (tmp_path / "part0").write_text(f"{TITLE_MARKER} T\nfirst\nTail [[Linked]] {END_MARKER}\n")
+    for match in ("contains", "prefix"):
+        row = extract(segment(read_dump(spark, str(tmp_path)), match=match)).first()
+        assert (row["lines"], row["wikilinks"], row["pure_text"]) == (["first"], ["Linked"], "first Tail Linked  ")
+
+
+def test_truncated_articles_are_dropped(spark, tmp_path):
+    for n in range(1, len(kept_marker())):
+        (tmp_path / f"part{n}").write_text(f"{TITLE_MARKER} T\nbody\n{END_MARKER[:n]}")
+    assert parsed(spark, str(tmp_path)) == [] == parsed(spark, str(tmp_path), match="prefix")
+    assert len(kept_marker()) == 17
+
+
 def test_file_splits_change_nothing(spark, tmp_path):
     (tmp_path / "part0").write_text("\n".join(DUMP.replace("ï", "i").replace("\r", "") for _ in range(20)))
     whole = parsed(spark, str(tmp_path))
