@@ -104,4 +104,4 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that overlap with no item, all columns as given."""
     leaked = overlaps(docs, benchmark).select(F.col("doc_id").alias("leaked_id")).distinct()
     leaked = written(leaked, "leaked")
-    return docs.join(_small(leaked), F.col("doc_id").cast("long") == F.col("leaked_id"), "left_anti")
+    return docs.join(_small(leaked), docs["doc_id"].cast("long") == leaked["leaked_id"], "left_anti")

@@ -440,4 +440,4 @@ def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Dat
     """The documents without those that are linked, over any number of links, with one of smaller ``doc_id``."""
     others = classes(docs, width, percent).filter("component_id < doc_id").select("doc_id").distinct()
     others = written(others.select(F.col("doc_id").alias("dropped_id")), "dropped")
-    return docs.join(_small(others), F.col("doc_id").cast("long") == F.col("dropped_id"), "left_anti")
+    return docs.join(_small(others), docs["doc_id"].cast("long") == others["dropped_id"], "left_anti")

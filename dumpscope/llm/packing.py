@@ -22,7 +22,9 @@ from dumpscope.llm.common import bounded_batches, crc, runs
 from dumpscope.llm.tokens import END_ID, encoder
 
 CAPACITY = 2048
-DOCS_PER_GROUP = 4096
+PIECES_PER_GROUP = 8192
+#: Bytes of text that a piece is reckoned to hold.
+PIECE_BYTES = 4 * CAPACITY
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -106,14 +108,16 @@ def packed(of: DataFrame, groups: int, capacity: int = CAPACITY, seed: int = 17)
     import pyarrow.compute  # noqa: F401  pa.compute, also in the tasks
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in of.schema)
-    group = F.pmod(F.xxhash64("doc_id", "start", F.lit(seed)), F.lit(groups).cast("long"))
+    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.lit(seed)), F.lit(groups).cast("long"))
     dealt = of.withColumn("pack_group", group).groupBy("pack_group")
     return dealt.applyInArrow(pack, fields + ", sequence_id long, offset long")
 
 
 def pack_documents(
-    docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, docs_per_group: int = DOCS_PER_GROUP, keep_ids: bool = False
+    docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, per_group: int = PIECES_PER_GROUP, keep_ids: bool = False
 ) -> DataFrame:
-    """Tokenise, cut and pack ``docs``; a row for each piece. The number of groups follows the number of documents."""
-    groups = max(1, -(-docs.select().count() // docs_per_group))
+    """Tokenise, cut and pack ``docs``; a row for each piece. The number of groups follows rows and bytes, long texts included."""
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).alias("size")
+    rows = docs.agg(F.count("*").alias("n"), F.coalesce(size, F.lit(0)).alias("size")).first()
+    groups = max(1, -(-(2 * rows["n"] + rows["size"] // PIECE_BYTES) // per_group))
     return packed(pieces(docs, path, capacity, keep_ids), groups, capacity)

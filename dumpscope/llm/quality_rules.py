@@ -160,5 +160,5 @@ def keep_good(docs: DataFrame) -> DataFrame:
     rejected = written(stats.filter(~good).select("rejected_id", "rejected_text").distinct(), "rejected")
     if rejected.count() <= BROADCAST_ROWS:
         rejected = F.broadcast(rejected)
-    same = docs["doc_id"].eqNullSafe(F.col("rejected_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("rejected_text"))
+    same = docs["doc_id"].eqNullSafe(rejected["rejected_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == rejected["rejected_text"])
     return docs.join(rejected, same, "left_anti")

@@ -97,7 +97,7 @@ def test_first_fit_decreasing():
 def test_packing(docs, texts, none):
     ids = ids_of(texts)
     pieces, sequences = collections.defaultdict(list), collections.defaultdict(list)
-    for r in packing.pack_documents(docs, docs_per_group=8).collect():
+    for r in packing.pack_documents(docs, per_group=16).collect():
         assert r["ids_crc32"] == zlib.crc32(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]].tobytes())
         assert r["doc_tokens"] == len(ids[r["doc_id"]])
         pieces[r["doc_id"]].append((r["start"], r["length"]))
