@@ -351,7 +351,7 @@ TAGS = (
 )
 LEMMAS = (
     "lem AS (SELECT * FROM (SELECT word, 'v' AS p, regexp_replace(word, '(?:ing|ed)$', '') AS lemma FROM bw "
-    "WHERE length(word) > 3 UNION ALL SELECT word, 'n', regexp_replace(word, 's$', '') FROM bw WHERE length(word) > 3) "
+    "UNION ALL SELECT word, 'n', regexp_replace(word, 's$', '') FROM bw) "
     "WHERE lemma <> word)"
 )
 LEMMATISED = (
@@ -389,7 +389,8 @@ _phrases = " UNION ALL ".join(
 )
 ORACLES["entity_tags"] = (
     with_(
-        "bt AS (SELECT string_split(text, ' ') AS t FROM benchmark WHERE len(string_split(text, ' ')) > 9)",
+        "tt AS (SELECT string_split(text, ' ') AS t FROM benchmark)",
+        "bt AS (SELECT t[k : k + 8] AS t FROM (SELECT t, unnest(range(1, len(t) + 1, 9)) AS k FROM tt))",
         f"ph AS (SELECT phrase, min(tag) AS tag FROM ({_phrases}) WHERE phrase <> '' GROUP BY phrase)",
         f"tk AS ({long('doc_id', blank_list('text'), 'token', 'documents')})",
         "ng AS (SELECT doc_id, pos, 1 AS n, token AS phrase FROM tk UNION ALL SELECT a.doc_id, a.pos, 2, a.token || ' ' || b.token "

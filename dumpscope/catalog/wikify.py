@@ -108,22 +108,23 @@ def word_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``word``, ``pos``, ``lemma``: benchmark words of four and more letters without their endings."""
-    base = benchmark_words(spark, sf_dir).filter("length(word) > 3")
+    """``word``, ``pos``, ``lemma``: benchmark words without their endings."""
+    base = benchmark_words(spark, sf_dir)
     verb = base.select("word", F.lit("v").alias("pos"), F.regexp_replace("word", "(?:ing|ed)$", "").alias("lemma"))
     noun = base.select("word", F.lit("n").alias("pos"), F.regexp_replace("word", "s$", "").alias("lemma"))
     return verb.unionByName(noun).filter("lemma <> word")
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``phrase``, ``tag``: opening phrases of one to three tokens of the benchmark texts."""
+    """``phrase``, ``tag``: phrases of one to three tokens of every nine tokens of the benchmark texts."""
     tokens = F.split(F.col("text"), " ")
-    rows = table(spark, sf_dir, "benchmark").filter(F.size(tokens) > 9)
+    nines = F.transform(F.sequence(F.lit(1), F.size(tokens), F.lit(9)), lambda at: F.slice(tokens, at, 9))
+    rows = table(spark, sf_dir, "benchmark").select(F.explode(nines).alias("t"))
     phrases = [
-        (F.array_join(F.slice(tokens, 1, 3), " "), "PERSON"),
-        (F.array_join(F.slice(tokens, 2, 2), " "), "ORGANIZATION"),
-        (F.array_join(F.slice(tokens, 5, 2), " "), "LOCATION"),
-        (F.array_join(F.slice(tokens, 9, 1), " "), "LOCATION"),
+        (F.array_join(F.slice("t", 1, 3), " "), "PERSON"),
+        (F.array_join(F.slice("t", 2, 2), " "), "ORGANIZATION"),
+        (F.array_join(F.slice("t", 5, 2), " "), "LOCATION"),
+        (F.array_join(F.slice("t", 9, 1), " "), "LOCATION"),
     ]
     pairs = F.array(*[F.struct(p.alias("phrase"), F.lit(t).alias("tag")) for p, t in phrases])
     return rows.select(F.inline(pairs)).distinct()
