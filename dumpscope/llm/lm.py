@@ -1,7 +1,8 @@
 """Language-model scores of whole texts by a weighted backoff automaton.
 
-Training counts every token of the training texts. The model then holds n-grams up to order 3, each with a share of the training tokens
-that is not below a fixed one, so its size has a bound that no corpus exceeds: at most ``1 / share`` n-grams of an order.
+Training counts every token of the training texts. The model then holds n-grams up to order 3, each with
+at least ``NGRAM * tokens ** 0.75`` places in the training texts. So the model grows with the corpus, as the fourth root of its tokens,
+and its size has a bound: there are at most ``tokens ** 0.25 / NGRAM`` n-grams of an order, some 19 million for a hundred terabytes.
 Probabilities are discounted counts, and what the discount frees goes to the next lower order. A state is a context; its
 arcs are the n-grams that go on from there; its failure arc drops the oldest word and weighs the backoff. Texts are read
 once from left to right, a run of texts in step, each with its state and the sum of its log-probabilities so far.
@@ -30,8 +31,10 @@ from pyspark.sql import functions as F
 from dumpscope.llm.common import WordHash, as_long, bounded_batches, crc_remainder, list_column, runs, written
 
 FOLDS, HELD_OUT = 5, 1
-#: Least shares of the training tokens: of a word to be looked up in place, of a word in n-grams, of one in trigrams, of an n-gram.
-LOOKED_UP, IN_NGRAMS, IN_TRIGRAMS, NGRAM = 5e-7, 1e-5, 1e-4, 1e-6
+#: Least counts, as multiples of the training tokens to the power of 0.75: of a word to be looked up in place, of a word in
+#: n-grams, of one in trigrams, of an n-gram. The second keeps word ids within ``BITS`` up to 1.2e13 training tokens.
+LOOKED_UP, IN_NGRAMS, IN_TRIGRAMS, NGRAM = 4.5e-5, 9e-4, 9e-3, 9e-5
+POWER = 0.75
 DISCOUNT = 0.75
 #: The end token: no word has a line end in it.
 END = b"\n"
@@ -117,17 +120,18 @@ class Lookup(dict):
 
 
 def frequent_words(counts: DataFrame, texts: int) -> Words:
-    """From the table of all counts; the rows that come to the driver are bounded by ``1 / LOOKED_UP``."""
+    """From the table of all counts; at most ``total ** 0.25 / LOOKED_UP`` rows come to the driver."""
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    rows = counts.filter(F.col("n") >= LOOKED_UP * total).select("h", "n").toArrow()
+    scale = total**POWER
+    rows = counts.filter(F.col("n") >= LOOKED_UP * scale).select("h", "n").toArrow()
     hashes, n = (rows.column(c).to_numpy().astype(np.int64) for c in ("h", "n"))
     order = np.argsort(hashes)
     hashes, n = hashes[order], n[order]
     ranked = np.lexsort((hashes, -n))
     ids = np.zeros(len(n), np.int64)
     ids[ranked] = np.arange(1, len(n) + 1)
-    ids[n < IN_NGRAMS * total] = 0
-    return Words(hashes, n, ids, int((n >= IN_TRIGRAMS * total).sum()), total, distinct, texts)
+    ids[n < IN_NGRAMS * scale] = 0
+    return Words(hashes, n, ids, int((n >= IN_TRIGRAMS * scale).sum()), total, distinct, texts)
 
 
 def ngrams(train: DataFrame, words: Words) -> DataFrame:
@@ -154,7 +158,7 @@ def ngrams(train: DataFrame, words: Words) -> DataFrame:
                 parts, size = [], 0
         yield _summed(parts, ("key", "n"))
 
-    least = max(NGRAM * words.total, 1)
+    least = max(NGRAM * words.total**POWER, 1)
     counted = train.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     return counted.filter(F.col("n") >= least)
 
@@ -304,7 +308,7 @@ def scored(docs: DataFrame) -> DataFrame:
     train = own.filter(~F.col("held_out"))
     counts = written(unigrams(train), "unigrams")
     words = frequent_words(counts, train.select("doc_id").count())
-    grams = ngrams(train, words).toArrow()  # at most 1 / NGRAM of each order
+    grams = ngrams(train, words).toArrow()  # at most total ** 0.25 / NGRAM of each order
     model = automaton(words, *(grams.column(c).to_numpy().astype(np.int64) for c in ("key", "n")))
     parts = written(_parts(own, model), "scores")
     rest = parts.select("row", F.explode("rare").alias("h")).join(counts, "h", "left")
