@@ -130,12 +130,14 @@ def ranked_sentiment(
     return scores.select("_row.rank", "_row.title", "pos", "neg", "neu")
 
 
-def rank_correlation(sentiment: DataFrame) -> DataFrame:
+def rank_correlation(sentiment: DataFrame, stored: bool = False) -> DataFrame:
     """One row: number of films, Pearson and Spearman correlation of rank and net sentence polarity.
 
-    The ranked rows are checkpointed, as ranking reads them several times and scoring must happen once.
+    The ranked rows are checkpointed, as ranking reads them several times and scoring must happen once. Rows that are
+    ``stored`` already, as a written table, are read as they are.
     """
-    net = checkpointed(sentiment.select("rank", (F.col("pos") - F.col("neg")).alias("net")))
+    net = sentiment.select("rank", (F.col("pos") - F.col("neg")).alias("net"))
+    net = net if stored else checkpointed(net)
     placed = average_rank(average_rank(net, "rank", "_rank"), "net", "_net")
     return placed.agg(
         F.count("*").alias("n"), F.corr("rank", "net").alias("pearson"), F.corr("_rank", "_net").alias("spearman")

@@ -14,4 +14,4 @@ def run(
     ranked = read_titles(spark, titles, fold_ascii)
     write_table(ranked_sentiment(ranked, articles, "article_id", read_lexicon(spark, lexicon)), output)
     sentiment = spark.read.parquet(output)
-    return {"sentiment": sentiment, "correlation": rank_correlation(sentiment)}
+    return {"sentiment": sentiment, "correlation": rank_correlation(sentiment, stored=True)}
