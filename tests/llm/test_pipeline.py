@@ -52,3 +52,13 @@ def test_run_and_registration(spark, steps):
     names = set(__spark_entry__.queries())
     assert {"pipeline"} < names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert pathlib.Path(corpus_pipeline.__file__).parent == pathlib.Path(__spark_entry__.__file__).parent
+
+
+def test_clashing_extra_columns(spark):
+    text = " ".join(f"word{k} and" for k in range(60))
+    rows = [(1, text, 1, 1, "a"), (2, text, 2, 2, "b"), (None, None, None, 3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, dropped_id long, rejected_id long, leaked_id string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert sorted(r["rejected_id"] for r in jaccard.keep_one(docs).collect()) == [1, 3]
+    assert decontaminate.keep_clean(docs, none).count() == 3
+    assert quality_rules.keep_good(docs).columns == docs.columns
