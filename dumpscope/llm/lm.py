@@ -1,15 +1,16 @@
-"""Language-model scores of whole texts by a weighted backoff automaton.
+"""Language-model scores of whole texts by a weighted backoff automaton that is kept as tables.
 
-Training counts every token of the training texts. The model then holds n-grams up to order 3, each with
-at least ``NGRAM * tokens ** 0.75`` places in the training texts. So the model grows with the corpus, as the fourth root of its tokens,
-and its size has a bound: there are at most ``tokens ** 0.25 / NGRAM`` n-grams of an order, some 19 million for a hundred terabytes.
-Probabilities are discounted counts, and what the discount frees goes to the next lower order. A state is a context; its
-arcs are the n-grams that go on from there; its failure arc drops the oldest word and weighs the backoff. Texts are read
-once from left to right, a run of texts in step, each with its state and the sum of its log-probabilities so far.
+Training counts every word, pair and triple of words of the training texts; none is left out, however rare. Probabilities
+are discounted counts, and what the discount frees goes to the next lower order. A state is a context of up to two words; its
+arcs are the n-grams that go on from there; its failure arc drops the oldest word and weighs the backoff. The state before a word
+follows from the two words before it, so a text needs no walk: each of its places is joined with the arc that leads on from there.
 
-Words too rare for the model still have their exact counts: they leave the automaton in the empty state, and their
-unigram probabilities, which only add to a sum, come from a join with the counts of all words. Words are told apart by
-64-bit hashes.
+Arcs and backoff weights are Spark tables that are computed by context and never gathered on the driver. They also hold the
+n-grams that only texts outside the training have, with their way over the failure arcs already added up, so one join scores a
+place. A text begins in the state of two beginnings, which gives the same as that of one.
+
+Frequent words have their unigram scores looked up in place, the others, with exact counts too, by a join. Words and n-grams are told
+apart by 64-bit hashes.
 
 Null and empty texts have the end token alone. Rows that repeat a ``doc_id`` are trained on and scored each for itself. A
 null ``doc_id`` counts as the text ''. Without training texts every token has probability 1. Long texts are
@@ -19,29 +20,33 @@ read whole. Extra columns are ignored. An empty table gives no rows.
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dumpscope.llm.common import WordHash, as_long, bounded_batches, crc_remainder, list_column, runs, written
+from dumpscope.llm.common import WordHash, as_long, bounded_batches, crc_remainder, list_column, release, runs, written
 
 FOLDS, HELD_OUT = 5, 1
-#: Least counts, as multiples of the training tokens to the power of 0.75: of a word to be looked up in place, of a word in
-#: n-grams, of one in trigrams, of an n-gram. The second keeps word ids within ``BITS`` up to 1.2e13 training tokens.
-LOOKED_UP, IN_NGRAMS, IN_TRIGRAMS, NGRAM = 4.5e-5, 9e-4, 9e-3, 9e-5
+#: Least count of a word to be looked up in place, as a multiple of the training tokens to the power of 0.75.
+LOOKED_UP = 4.5e-5
 POWER = 0.75
 DISCOUNT = 0.75
-#: The end token: no word has a line end in it.
+#: The end token: no word has a line end in it. Two line ends stand for the beginning as a context.
 END = b"\n"
+BEGIN = xxhash.xxh3_64_intdigest(b"\n\n")
 BITS = np.int64(21)
-KEYS = 1 << 22
-#: Bytes of text that are scored in step.
-STEP_BYTES = 16 << 20
+#: Places that are summed up in a task before the shuffle.
+KEYS = 1 << 20
+
+_P1, _P2, _P3, _P4, _P5 = map(
+    np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+)
 
 
 def tokens_of(text: bytes) -> list[bytes]:
@@ -52,32 +57,124 @@ def _flat(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     """The tokens of all texts and the number of each text's."""
     tokens, lengths = [], []
     for text in texts:
-        own = text.lower().split()
+        own = tokens_of(text)
         tokens += own
-        tokens.append(END)
-        lengths.append(len(own) + 1)
+        lengths.append(len(own))
     return tokens, np.array(lengths, np.int64)
 
 
-def _summed(parts: list[np.ndarray], names: tuple[str, str]) -> pa.RecordBatch:
-    keys, counts = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.int64),) * 2
-    return pa.record_batch([pa.array(keys), pa.array(counts.astype(np.int64))], names=list(names))
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
 
 
-def unigrams(train: DataFrame) -> DataFrame:
-    """Hash and count of every training token."""
+def _xxhash64(values: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    x = (seed + _P5 + np.uint64(8)) ^ (_turned(values * _P2, 31) * _P1)
+    x = _turned(x, 27) * _P1 + _P4
+    x = (x ^ (x >> np.uint64(33))) * _P2
+    x = (x ^ (x >> np.uint64(29))) * _P3
+    return x ^ (x >> np.uint64(32))
+
+
+def pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """What Spark's ``xxhash64`` gives for two long columns."""
+    return _xxhash64(right, _xxhash64(left, np.full(1, 42, np.uint64)))
+
+
+def tokenised(docs: DataFrame) -> DataFrame:
+    """A row for each text: a number, ``doc_id``, ``held_out`` and the hashes of its tokens."""
+
+    def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, row = WordHash(), TaskContext.get().partitionId() << 33
+        for batch, texts in runs(batches):
+            tokens, lengths = _flat(texts)
+            hashes = list_column(as_long(known.of(tokens)), lengths, pa.int64())
+            columns = [pa.array(np.arange(row, row + len(texts))), batch.column("doc_id"), batch.column("held_out"), hashes]
+            row += len(texts)
+            yield pa.record_batch(columns, names=["row", "doc_id", "held_out", "hashes"])
+
+    return docs.select("doc_id", "held_out", "text").mapInArrow(compute, "row long, doc_id long, held_out boolean, hashes array<long>")
+
+
+def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Consecutive rows of about ``KEYS`` tokens at most, their hashes and the number of each row's."""
+    release()
+    for batch in batches:
+        ends = np.cumsum(pc.list_value_length(batch.column("hashes")).to_numpy(zero_copy_only=False).astype(np.int64))
+        first = 0
+        while first < batch.num_rows:
+            base = int(ends[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, base + KEYS, "right")))
+            part = batch.slice(first, last - first)
+            flat = part.column("hashes").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            yield part, flat, np.diff(ends[first:last], prepend=base)
+            first = last
+    release()
+
+
+def _held(part: pa.RecordBatch) -> np.ndarray:
+    return part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _places(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every place the word before, the pair before, and the pair that ends there."""
+    starts = np.cumsum(lengths) - lengths
+    before = np.roll(flat, 1)
+    before[starts] = np.uint64(BEGIN)
+    here = pair(before, flat)
+    context = np.roll(here, 1)
+    context[starts] = pair(*np.full((2, 1), BEGIN, np.uint64))[0]
+    return before, context, here
+
+
+def _summed(names: list[str], parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+    """Distinct rows, told apart by the first array, the sums of the last one, and the arrays between."""
+    key, *between, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    _, at, inverse = np.unique(key, return_index=True, return_inverse=True)
+    sums = np.bincount(inverse, weights=n, minlength=len(at)).astype(np.int64)
+    return pa.record_batch([*[pa.array(as_long(x[at])) for x in between], pa.array(sums)], names=names)
+
+
+def _counted(tokens: DataFrame, names: list[str], arrays: Callable[[np.ndarray, np.ndarray], list[np.ndarray]]) -> DataFrame:
+    """Rows of the named arrays with ``n``, how often they stand in training texts, summed up within parts of a task."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, parts, size = WordHash(), [], 0
-        for _, texts in runs(batches):
-            parts.append(as_long(hashes.of(_flat(texts)[0])))
-            size += len(parts[-1])
-            if size > KEYS:
-                yield _summed(parts, ("h", "n"))
+        parts, size = [], 0
+        for part, flat, lengths in _pieces(batches):
+            parts.append([*arrays(flat, lengths), np.repeat(~_held(part), lengths)])
+            size += len(flat)
+            if size >= KEYS:
+                yield _summed([*names, "n"], parts)
                 parts, size = [], 0
-        yield _summed(parts, ("h", "n"))
+        if parts:
+            yield _summed([*names, "n"], parts)
+
+    return tokens.select("held_out", "hashes").mapInArrow(count, ", ".join(f"{x} long" for x in [*names, "n"]))
+
+
+def unigrams(tokens: DataFrame) -> DataFrame:
+    """Hash and count of every training token."""
+    counts = _counted(tokens.filter(~F.col("held_out")), ["h"], lambda flat, lengths: [flat, flat])
+    return counts.groupBy("h").agg(F.sum("n").alias("n"))
+
 
-    return train.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+def bigrams(tokens: DataFrame) -> DataFrame:
+    """``b``, ``c`` and count of every pair, 0 of one that no training text has; a task has all pairs of a ``b``."""
+
+    def arrays(flat: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+        before, _, here = _places(flat, lengths)
+        return [here, before, flat]
+
+    return _counted(tokens, ["b", "c"], arrays).repartition("b").groupBy("b", "c").agg(F.sum("n").alias("n"))
+
+
+def trigrams(tokens: DataFrame) -> DataFrame:
+    """``ab``, ``bc`` and count of every triple, as its two pairs; a task has all triples of a ``bc``."""
+
+    def arrays(flat: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+        _, context, here = _places(flat, lengths)
+        return [pair(context, here), context, here]
+
+    return _counted(tokens, ["ab", "bc"], arrays).repartition("bc").groupBy("ab", "bc").agg(F.sum("n").alias("n"))
 
 
 @dataclasses.dataclass
@@ -101,71 +198,56 @@ class Words:
         return np.log10((counts + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
 
 
-class Lookup(dict):
-    """Place of a word among the frequent ones, or -1; remembered."""
-
-    def __init__(self, hashes: np.ndarray):
-        self.hashes, self.bound = hashes, 250_000
-
-    def __missing__(self, word: bytes) -> int:
-        h = np.uint64(xxhash.xxh3_64_intdigest(word)).astype(np.int64)
-        k = int(np.searchsorted(self.hashes, h))
-        if len(self) >= self.bound:
-            self.clear()
-        self[word] = k = k if k < len(self.hashes) and self.hashes[k] == h else -1
-        return k
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-
-
 def frequent_words(counts: DataFrame, texts: int) -> Words:
     """From the table of all counts; at most ``total ** 0.25 / LOOKED_UP`` rows come to the driver."""
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    scale = total**POWER
-    rows = counts.filter(F.col("n") >= LOOKED_UP * scale).select("h", "n").toArrow()
+    rows = counts.filter(F.col("n") >= LOOKED_UP * total**POWER).select("h", "n").toArrow()
     hashes, n = (rows.column(c).to_numpy().astype(np.int64) for c in ("h", "n"))
     order = np.argsort(hashes)
-    hashes, n = hashes[order], n[order]
-    ranked = np.lexsort((hashes, -n))
-    ids = np.zeros(len(n), np.int64)
-    ids[ranked] = np.arange(1, len(n) + 1)
-    ids[n < IN_NGRAMS * scale] = 0
-    return Words(hashes, n, ids, int((n >= IN_TRIGRAMS * scale).sum()), total, distinct, texts)
+    return Words(hashes[order], n[order], np.zeros(len(n), np.int64), 0, total, distinct, texts)
 
 
-def ngrams(train: DataFrame, words: Words) -> DataFrame:
-    """Keys and counts of frequent n-grams. A key packs two or three word ids, the first highest; a pair has no third."""
-    shared = train.sparkSession.sparkContext.broadcast(words)
+def _arcs(context: str, lower: str) -> Column:
+    """Log-probability of a row's last word after ``context``, from the counts ``n`` and the log-probabilities by the ``lower`` order.
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        lookup, parts, size = Lookup(words.hashes), [], 0
-        for _, texts in runs(batches):
-            tokens, lengths = _flat(texts)
-            at = lookup.of(tokens)
-            own = np.where(at < 0, 0, words.ids[at]) if len(words.ids) else at * 0
-            # Between texts stand a 0, which no n-gram goes over, and the context of a beginning.
-            ids = np.insert(own, np.repeat(np.cumsum(lengths) - lengths, 2), np.tile([0, words.begin], len(lengths)))
-            a, b = ids[:-1], ids[1:]
-            parts.append(((a << BITS) | b)[(a > 0) & (b > 0) & (b < words.begin)])
-            low = (ids > 0) & ((ids <= words.core) | (ids == words.begin))
-            three = low[:-2] & low[1:-1] & low[2:]
-            parts.append(((ids[:-2] << (2 * BITS)) | (ids[1:-1] << BITS) | ids[2:])[three])
-            size += len(ids)
-            if size > KEYS:
-                yield _summed(parts, ("key", "n"))
-                parts, size = [], 0
-        yield _summed(parts, ("key", "n"))
+    A row that no training text has goes over the failure arc: it weighs what the discounts of the context's arcs free, as a
+    share of what the lower order gives to other words.
+    """
+    own, n = Window.partitionBy(context), F.col("n")
+    total, arcs = F.sum("n").over(own), F.sum((n > 0).cast("long")).over(own)
+    given = F.sum(F.when(n > 0, F.pow(F.lit(10.0), F.col(lower))).otherwise(0.0)).over(own)
+    free = F.greatest(DISCOUNT * arcs / total, F.lit(1e-9))
+    backoff = F.when(arcs > 0, F.log10(free / F.greatest(1 - given, F.lit(1e-9)))).otherwise(0.0)
+    return F.when(n > 0, F.log10((n - DISCOUNT) / total)).otherwise(backoff + F.col(lower))
+
+
+def model_scores(tokens: DataFrame, counts: DataFrame, words: Words) -> DataFrame:
+    """``row`` and ``score``, the sum of the log10-probabilities of its tokens by the trigram model."""
+    ones = counts.select(F.col("h").alias("c"), words_logp(words).alias("one"))
+    none = float(words.logp(np.zeros(1))[0])
+    pairs = bigrams(tokens).join(ones, "c", "left").withColumn("one", F.coalesce("one", F.lit(none)))
+    pairs = pairs.select(F.xxhash64("b", "c").alias("bc"), _arcs("b", "one").alias("two"))
+    triples = trigrams(tokens).join(pairs, "bc")
+    arcs = triples.select(F.xxhash64("ab", "bc").alias("key"), _arcs("ab", "two").alias("three"))
+
+    def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, flat, lengths in _pieces(batches):
+            rows = np.repeat(part.column("row").to_numpy(), lengths)
+            yield pa.record_batch([pa.array(rows), pa.array(as_long(pair(*_places(flat, lengths)[1:])))], names=["row", "key"])
 
-    least = max(NGRAM * words.total**POWER, 1)
-    counted = train.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return counted.filter(F.col("n") >= least)
+    places = tokens.select("row", "hashes").mapInArrow(keys, "row long, key long")
+    return places.join(arcs, "key").groupBy("row").agg(F.sum("three").alias("score"))
+
+
+def words_logp(words: Words) -> Column:
+    return F.log10((F.coalesce("n", F.lit(0)) + 0.5) / (words.total + 0.5 * (words.distinct + 1)))
 
 
 @dataclasses.dataclass
 class Automaton:
-    """State 0 is the empty context, states up to ``words.begin`` are words, the others pairs.
+    """The same model in memory, for texts of few words; tests hold the tables against it.
+
+    State 0 is the empty context, states up to ``words.begin`` are words, the others pairs.
 
     ``keys`` are arcs, state and word id packed, in ascending order, with log-probability and next state; ``fail`` and ``backoff``
     are each state's failure arc.
@@ -272,51 +354,43 @@ def automaton(words: Words, keys: np.ndarray, counts: np.ndarray) -> Automaton:
     return Automaton(words, arcs, logp, onto, fail, np.concatenate([back_one, back_two]))
 
 
-def _parts(docs: DataFrame, model: Automaton) -> DataFrame:
-    """What each text has without its rare words, and the hashes of these."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def _parts(tokens: DataFrame, words: Words) -> DataFrame:
+    """The unigram score of each text without its rare words, and the hashes of these."""
+    shared = tokens.sparkSession.sparkContext.broadcast(words)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        words, lookup = model.words, Lookup(model.words.hashes)
-        logp = np.append(words.logp(words.counts.astype(float)), 0.0)  # the last, for -1, is added later
-        known_ids = np.append(words.ids, 0)
-        row = TaskContext.get().partitionId() << 33
-        for batch, texts in runs(batches, size=STEP_BYTES):
-            tokens, lengths = _flat(texts)
-            at = lookup.of(tokens)
+        words = shared.value
+        hashes = np.append(words.hashes, np.iinfo(np.int64).max)
+        logp = np.append(words.logp(words.counts.astype(float)), 0.0)  # the last, of a rare word, is added later
+        for part, flat, lengths in _pieces(batches):
+            own = flat.view(np.int64)
+            at = np.searchsorted(hashes[:-1], own)
+            rare = (hashes[at] != own) | (at == len(words.hashes))
             starts = np.cumsum(lengths) - lengths
-            alone = logp[at]
-            missing = np.add.reduceat(at < 0, starts, dtype=np.int64)
-            rare = np.array([xxhash.xxh3_64_intdigest(tokens[k]) for k in np.flatnonzero(at < 0).tolist()], np.uint64)
+            missing = np.add.reduceat(rare, starts, dtype=np.int64)
             columns = [
-                pa.array(np.arange(row, row + len(texts))), batch.column("doc_id"), batch.column("held_out"), pa.array(lengths),
-                pa.array(lengths - missing), pa.array(np.add.reduceat(alone, starts)),
-                pa.array(model.scores(known_ids[at], alone, lengths)), list_column(as_long(rare), missing, pa.int64()),
+                part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(lengths), pa.array(lengths - missing),
+                pa.array(np.add.reduceat(np.where(rare, 0.0, logp[at]), starts)), list_column(own[rare], missing, pa.int64()),
             ]
-            row += len(texts)
-            yield pa.record_batch(columns, names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare"])
+            yield pa.record_batch(columns, names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "rare"])
 
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare array<long>"
-    return docs.select("doc_id", "held_out", "text").mapInArrow(score, schema)
+    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, rare array<long>"
+    return tokens.mapInArrow(score, schema)
 
 
 def scored(docs: DataFrame) -> DataFrame:
     """A row for each document: tokens, known tokens, training tokens, unigram score and model score."""
     own = bounded_batches(docs).select(F.col("doc_id").cast("long"), "text")
     own = own.withColumn("held_out", crc_remainder("doc_id", FOLDS) == HELD_OUT)
-    train = own.filter(~F.col("held_out"))
-    counts = written(unigrams(train), "unigrams")
-    words = frequent_words(counts, train.select("doc_id").count())
-    grams = ngrams(train, words).toArrow()  # at most total ** 0.25 / NGRAM of each order
-    model = automaton(words, *(grams.column(c).to_numpy().astype(np.int64) for c in ("key", "n")))
-    parts = written(_parts(own, model), "scores")
+    tokens = written(tokenised(own), "tokens")
+    counts = written(unigrams(tokens), "unigrams")
+    words = frequent_words(counts, tokens.filter(~F.col("held_out")).count())
+    model = written(model_scores(tokens, counts, words), "model_scores")
+    parts = _parts(tokens, words)
     rest = parts.select("row", F.explode("rare").alias("h")).join(counts, "h", "left")
-    one = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / (words.total + 0.5 * (words.distinct + 1)))
-    rest = rest.groupBy("row").agg(F.sum(one).alias("more"), F.count("n").alias("more_known"))
-    more = F.coalesce("more", F.lit(0.0))
-    return parts.join(rest, "row", "left").select(
+    rest = rest.groupBy("row").agg(F.sum(words_logp(words)).alias("more"), F.count("n").alias("more_known"))
+    return parts.join(model, "row").join(rest, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(int(words.total)).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"),
-        (F.col("score") + more).alias("score"),
+        F.lit(int(words.total)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+        "score",
     )

@@ -337,3 +337,32 @@ def test_automaton_is_a_distribution_and_equals_plain_backoff():
     assert got == pytest.approx([plain(t) for t in texts])
     for state in ([], [1], [2, 3], [4, 4]):
         assert sum(10 ** (plain([*state, w]) - plain(state)) for w in range(6)) == pytest.approx(1)
+
+
+def test_lm_scores_use_every_ngram(spark):
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(30)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 12))) for _ in range(60)] + ["w1 unseen w2 w3", "w3 w4 w5 twice twice"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    held = [zlib.crc32(str(k).encode()) % 5 == 1 for k in range(len(texts))]
+    ids = {w: k for k, w in enumerate([*words, "unseen", "twice", "\n"], 1)}
+    begin = len(ids) + 1
+    runs = [[ids[t] for t in [*text.split(), "\n"]] for text in texts]
+    train = [r for r, h in zip(runs, held, strict=True) if not h]
+    count = collections.Counter(w for r in train for w in r)
+    known = [w for w in ids.values() if count[w]]
+    shape = (np.array([count[w] for w in known]), np.array(known), len(known), sum(count.values()), len(known), len(train))
+    grams = collections.Counter()
+    for r in train:
+        r = [begin, *r]
+        grams.update((a << 21) | b for a, b in zip(r, r[1:], strict=False))
+        grams.update((a << 42) | (b << 21) | c for a, b, c in zip(r, r[1:], r[2:], strict=False))
+    model = lm.automaton(lm.Words(np.array(known), *shape), np.array(list(grams), np.int64), np.array(list(grams.values())))
+    alone = model.words.logp(np.array([count[w] for w in range(begin)], float))
+    flat = np.array([w for r in runs for w in r])
+    expected = model.scores(flat, alone[flat], np.array([len(r) for r in runs]))
+    got = {r["doc_id"]: r["score"] for r in lm.scored(docs).collect()}
+    assert any(held) and [got[k] for k in range(len(texts))] == pytest.approx(expected.tolist(), rel=1e-6)
+    pairs = np.array([[1, 2**63 + 5], [7, 2**64 - 1]], np.uint64)
+    rows = spark.createDataFrame(pairs.view(np.int64).T.tolist(), "a long, b long").selectExpr("xxhash64(a, b) AS h").collect()
+    assert [r["h"] for r in rows] == lm.pair(*pairs).view(np.int64).tolist()
