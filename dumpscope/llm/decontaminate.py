@@ -6,8 +6,10 @@ of the benchmark. A hit fixes a document, an item and how their words lie agains
 then compared, and the best stretch counts, where an equal word gains 1 and another loses ``PENALTY``. An overlap
 of ``LEAST`` equal words, or of all words of an item shorter than that, is a leak.
 
-Words are runs of ASCII letters and digits and of non-ASCII characters, lower-cased, so case and punctuation do not matter. Items
-with fewer words than the shortest mask's window cannot be found and never match. Null and empty texts, on
+The masks miss no leak. Within a best stretch the gain so far is above 0 after every word, so it begins with three equal words, and
+with a penalty of 2 its first five equal words stand as one of the masks has them. Items of fewer words than a mask are hashed whole.
+
+Words are runs of ASCII letters and digits and of non-ASCII characters, lower-cased, so case and punctuation do not matter. Null and empty texts, on
 either side, match nothing. Rows that repeat a ``doc_id`` or an ``item_id`` are pooled: the best overlap counts. Long texts are read
 whole. Ties between equally good diagonals go to the first in the document. Null ids match nothing. Empty tables give no rows.
 Extra columns are ignored, and kept by ``keep_clean``.
@@ -15,13 +17,15 @@ Extra columns are ignored, and kept by ``keep_clean``.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dumpscope.llm.common import written
 
-#: Positions that each mask looks at.
-MASKS = ((0, 1, 2, 3, 4, 5, 6), (0, 1, 3, 4, 6, 8, 9), (0, 2, 3, 5, 8, 9, 10))
+#: Positions that each mask looks at: every way in which the first five equal words of a best stretch can stand.
+MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 3, 5), (0, 1, 2, 4, 5))
 LEAST, PENALTY = 12, 2
 #: Benchmark seeds and hit rows up to this many are broadcast, some 40 bytes each; beyond, the joins are shuffled.
 BROADCAST_ROWS = 500_000
@@ -37,8 +41,8 @@ def words_of(text: str) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), _BREAK), "")
 
 
-def seeds(texts: DataFrame, key: str) -> DataFrame:
-    """``key``, ``at`` and ``seed`` of every full window of every mask of every text."""
+def seeds(texts: DataFrame, key: str, whole: Iterable[int] = ()) -> DataFrame:
+    """``key``, ``at`` and ``seed`` of every full window of every mask of every text, and of windows of ``whole`` words."""
     df = texts.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), words_of("text").alias("words"))
     df = df.select(key, F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
     n = F.size("hashes")
@@ -50,16 +54,22 @@ def seeds(texts: DataFrame, key: str) -> DataFrame:
             out = F.zip_with(out, F.slice("hashes", k + 1, windows), lambda a, b: F.xxhash64(a, b))
         return out
 
-    df = df.filter(n > min(m[-1] for m in MASKS)).select(key, *[under(k, m).alias(f"m{k}") for k, m in enumerate(MASKS)])
-    parts = F.explode(F.array(*[F.col(f"m{k}") for k in range(len(MASKS))])).alias("of_mask")
+    masks = [*enumerate(MASKS), *((-size, tuple(range(size))) for size in whole)]
+    df = df.filter(n > min(m[-1] for _, m in masks)).select(key, *[under(k, m).alias(f"m{i}") for i, (k, m) in enumerate(masks)])
+    parts = F.explode(F.array(*[F.col(f"m{i}") for i in range(len(masks))])).alias("of_mask")
     return df.select(key, parts).select(key, F.posexplode("of_mask").alias("at", "seed"))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each document and item that overlap: ``doc_id``, ``item_id``, number of equal words, where they stand."""
     items = benchmark.filter("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    tests = written(seeds(items, "item_id").select("seed", "item_id", F.col("at").alias("item_at")).distinct(), "seeds")
-    hits = seeds(docs, "doc_id").join(_small(tests), "seed")
+    size = F.size(words_of("text"))
+    short = sorted(r[0] for r in items.select(size).filter((size > 0) & (size < len(MASKS[0]))).distinct().collect())
+    tests = seeds(items, "item_id")
+    for n in short:
+        tests = tests.union(seeds(items.filter(size == n), "item_id", [n]))
+    tests = written(tests.select("seed", "item_id", F.col("at").alias("item_at")).distinct(), "seeds")
+    hits = seeds(docs, "doc_id", short).join(_small(tests), "seed")
     hits = written(hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = texts.join(_small(hits.select("doc_id").distinct()), "doc_id", "left_semi")

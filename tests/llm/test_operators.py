@@ -234,6 +234,38 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.keep_clean(docs, benchmark.limit(0)).columns == docs.columns
 
 
+def best_stretch(equal):
+    best, here = (0, 0), (0, 0)
+    for e in equal:
+        gain, n = here if here[0] > 0 else (0, 0)
+        here = (gain + 1, n + 1) if e else (gain - decontaminate.PENALTY, n)
+        best = here if here[0] > best[0] else best
+    return best[1]
+
+
+def test_masks_hit_every_accepted_pattern():
+    for n in range(12, 19):
+        for bits in range(1 << n):
+            equal = [bits >> k & 1 for k in range(n)]
+            if sum(equal) >= decontaminate.LEAST and best_stretch(equal) >= decontaminate.LEAST:
+                hit = any(all(equal[i + k] for k in m) for m in decontaminate.MASKS for i in range(n - m[-1]))
+                assert hit, (n, equal)
+
+
+def test_sparse_copies_and_short_items_leak(spark):
+    words = [f"v{k}" for k in range(100)]
+    items = [words[:38], words[40:55], words[60:64], words[70:72], words[80:81]]
+    changed = lambda item, at: ["x" if at(k) else w for k, w in enumerate(item)]
+    texts = [
+        changed(items[0], lambda k: k % 4 == 3), changed(items[1], lambda k: k in (3, 7, 11)), ["y", *items[2], "z"],
+        [*items[3], "y"], ["y", *items[4]], [words[70], "y", words[71], *words[60:63]],
+    ]
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r["equal_words"] for r in decontaminate.overlaps(df, benchmark).collect()}
+    assert found == {(0, 0): 27, (1, 1): 12, (2, 2): 4, (3, 3): 2, (4, 4): 1}
+
+
 def test_licences(docs, texts, none):
     rows = {r["doc_id"]: r for r in licences.scan(docs).collect()}
     phrases = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
