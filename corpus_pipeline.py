@@ -19,7 +19,9 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return classifier.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    # Learns from the given documents: the rules leave too few labelled 0.
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return classifier.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), given)
 
 
 def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,17 @@ def test_labelled_documents(spark, steps):
             assert row["doc_id"] in classified
 
 
+def test_classifier_learns_from_the_given_documents(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    held = "crc32(cast(cast(doc_id AS string) AS binary)) % 5 = 0"
+    good, junk = (docs.join(labels.filter(f"quality = {q}"), "doc_id", "left_semi") for q in (1, 0))
+    # The rows to learn from have one class only here, of which a model of its own would keep, or reject, every document.
+    for learnt, other in ((good, junk), (junk, good)):
+        mixed = learnt.filter(f"NOT {held}").union(other.filter(held))
+        assert other.filter(held).count() and ids(corpus_pipeline.classifier_stage(spark, mixed, SF_DIR)) == ids(mixed) & ids(good)
+
+
 def test_run_and_registration(spark, steps):
     assert sorted(corpus_pipeline.run(spark, SF_DIR).collect()) == sorted(steps[-1].collect())
     names = set(__spark_entry__.queries())
