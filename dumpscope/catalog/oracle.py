@@ -412,3 +412,63 @@ ORACLES["entity_tags"] = (
 ORACLES["entity_tags_joined"] = (
     f"SELECT doc_id, tag, count(*) AS n FROM ({ORACLES['entity_tags']}) GROUP BY doc_id, tag"
 )
+
+# Tags in context: the bigram model counted from the tagged benchmark, Viterbi as a fold over each sentence.
+_IN = "'NN', 'NNP', 'NNPS', 'NNS', 'JJ', 'JJR', 'JJS', 'VB', 'VBD', 'VBG', 'VBN', 'VBP', 'VBZ'"
+_NOMINAL = "lambda t: t IN ('NN', 'NNS', 'JJ')"
+_VERBAL = "lambda t: starts_with(t, 'VB')"
+_NONE = "struct_pack(tag := NULL::VARCHAR, score := '-inf'::DOUBLE, path := []::VARCHAR[])"
+_MOVE = "coalesce(map_extract_value(m, p.tag || ' ' || c.tag), map_extract_value(m, p.tag))"
+_BEST = (
+    f"list_reduce(st, lambda b, p: CASE WHEN p.score + {_MOVE} > b.score THEN "
+    f"struct_pack(tag := c.tag, score := p.score + {_MOVE}, path := list_append(p.path, c.tag)) ELSE b END, {_NONE})"
+)
+_STEP = (
+    f"list_transform(list_transform(x.cands, lambda c: struct_pack(e := c.emit, b := {_BEST})), "
+    "lambda z: struct_pack(tag := z.b.tag, score := z.b.score + z.e, path := z.b.path))"
+)
+_START = "[struct_pack(tag := '<s>', score := 0.0::DOUBLE, path := []::VARCHAR[])]"
+CONTEXT = [
+    BENCH,
+    "amb AS (SELECT word, unnest(CASE WHEN word LIKE '%ing' THEN ['VBG', 'NN'] WHEN word LIKE '%ed' THEN ['VBD', 'JJ'] "
+    "WHEN word LIKE '%s' THEN ['NNS', 'VBZ'] WHEN word LIKE '%tion' THEN ['NN'] ELSE ['DT'] END) AS tag FROM bw)",
+    "opt AS (SELECT word, list_sort(list(tag)) AS tags FROM amb GROUP BY word)",
+    f"bs AS (SELECT item_id, unnest(s) AS st, generate_subscripts(s, 1) AS sn FROM "
+    f"(SELECT item_id, regexp_split_to_array({ascii_text('text')}, '[.!?]') AS s FROM benchmark))",
+    f"bt AS (SELECT item_id, sn, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM "
+    f"(SELECT item_id, sn, {find_all('st', WORD)} AS w FROM bs))",
+    "gf AS (SELECT bt.*, opt.tags, lag(opt.tags) OVER (PARTITION BY item_id, sn ORDER BY pos) AS before FROM bt JOIN opt USING (word))",
+    f"gold AS (SELECT item_id, sn, pos, word, coalesce(CASE WHEN len(tags) = 1 THEN tags[1] "
+    f"WHEN coalesce(before = ['DT'], false) AND len(list_filter(tags, {_NOMINAL})) > 0 THEN list_filter(tags, {_NOMINAL})[1] "
+    f"WHEN len(list_filter(tags, {_VERBAL})) > 0 THEN list_filter(tags, {_VERBAL})[1] END, tags[1]) AS tag FROM gf)",
+    "pc AS (SELECT prev, tag, count(*) AS c FROM (SELECT coalesce(lag(tag) OVER (PARTITION BY item_id, sn ORDER BY pos), '<s>') AS prev, "
+    "tag FROM gold) GROUP BY prev, tag)",
+    "pt AS (SELECT prev, sum(c) AS total FROM pc GROUP BY prev)",
+    "nt AS (SELECT count(*) AS t FROM (SELECT tag FROM gold UNION SELECT 'X'))",
+    "alltags AS (SELECT tag FROM gold UNION SELECT 'X' UNION SELECT '<s>')",
+    "tr AS (SELECT map_from_entries(list(struct_pack(k := k, v := v))) AS m FROM ("
+    "SELECT a.tag AS k, ln(1 / (coalesce(pt.total, 0) + nt.t)) AS v FROM alltags a LEFT JOIN pt ON pt.prev = a.tag, nt "
+    "UNION ALL SELECT pc.prev || ' ' || pc.tag, ln((pc.c + 1) / (pt.total + nt.t)) FROM pc JOIN pt USING (prev), nt))",
+    "vc AS (SELECT count(DISTINCT word) AS v FROM gold)",
+    "wc AS (SELECT word, tag, count(*) AS c FROM gold GROUP BY word, tag)",
+    "tc AS (SELECT tag, count(*) AS ct FROM gold GROUP BY tag)",
+    "cand AS (SELECT word, list_sort(list(struct_pack(tag := a.tag, emit := ln((coalesce(wc.c, 0) + 1) / (coalesce(tc.ct, 0) + vc.v))))) "
+    "AS cands FROM (SELECT DISTINCT word, tag FROM amb) a LEFT JOIN wc USING (word, tag) LEFT JOIN tc USING (tag), vc GROUP BY word)",
+    f"ds AS (SELECT doc_id, unnest(s) AS st, generate_subscripts(s, 1) AS sn FROM (SELECT doc_id, {sentence_list('text')} AS s FROM documents))",
+    f"dt AS (SELECT doc_id, sn, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM (SELECT doc_id, sn, {blank_list('st')} AS w FROM ds))",
+    "sent AS (SELECT doc_id, sn, list(struct_pack(pos := pos, token := token, "
+    "cands := coalesce(cand.cands, [struct_pack(tag := 'X', emit := 0.0::DOUBLE)])) ORDER BY pos) AS t "
+    "FROM dt LEFT JOIN cand ON dt.token = cand.word GROUP BY doc_id, sn)",
+    f"fin AS (SELECT doc_id, sn, t, list_reduce(t, lambda st, x: {_STEP}, {_START}) AS final FROM sent, tr)",
+    f"vit AS (SELECT doc_id, sn, t, list_reduce(final, lambda b, s: CASE WHEN s.score > b.score THEN s ELSE b END, {_NONE}).path AS path FROM fin)",
+    "ct AS (SELECT doc_id, sn, unnest(t).token AS token, unnest(path) AS tag, generate_subscripts(path, 1) AS i FROM vit)",
+    "cx AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY sn, i) - 1 AS BIGINT) AS pos, token, tag FROM ct)",
+]
+ORACLES["context_tagged"] = with_(*CONTEXT) + "SELECT doc_id, pos, token, tag FROM cx"
+ORACLES["pos_context"] = with_(*CONTEXT) + regrouped(FRAMED, f"cx WHERE tag IN ({_IN})", " ")
+ORACLES["lemma_context"] = with_(*CONTEXT, LEMMAS) + regrouped(
+    "string_agg(coalesce(CASE WHEN contains(lower(tag), 'v') THEN v.lemma ELSE n.lemma END, token), ' ' ORDER BY pos)",
+    "cx LEFT JOIN (SELECT word, min(lemma) AS lemma FROM lem WHERE p = 'v' GROUP BY word) v ON token = v.word "
+    "LEFT JOIN (SELECT word, min(lemma) AS lemma FROM lem WHERE p = 'n' GROUP BY word) n ON token = n.word",
+    "",
+)

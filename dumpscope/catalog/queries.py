@@ -10,7 +10,7 @@ from dumpscope.functions import citations, markup
 from dumpscope.functions import text as tx
 from dumpscope.functions.titles import ascii_only, normalise_title
 from dumpscope.operators import articles as art
-from dumpscope.operators import lexical, sentiment, stats
+from dumpscope.operators import context_tags, lexical, sentiment, stats
 from dumpscope.operators import text as txt
 from dumpscope.operators.rank import with_position
 from dumpscope.operators.segment import segment
@@ -434,6 +434,33 @@ def pos_filtered(spark, sf_dir):
     return lexical.keep_tagged(_documents(spark, sf_dir), "doc_id", "text", wk.word_tags(spark, sf_dir))
 
 
+def _in_context(spark, sf_dir, **more):
+    tags, tagged = wk.ambiguous_word_tags(spark, sf_dir), wk.tagged_benchmark(spark, sf_dir)
+    return context_tags.tag_in_context(_documents(spark, sf_dir), "doc_id", "text", tags, tagged, **more)
+
+
+@query
+def context_tagged(spark, sf_dir):
+    """Every token of every document with its tag chosen in context (F9, F10)."""
+    rows = _in_context(spark, sf_dir).select("doc_id", F.posexplode("words").alias("pos", "w"))
+    return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), "w.token", "w.tag")
+
+
+@query
+def pos_context(spark, sf_dir):
+    """Nouns, adjectives and verbs by their tag in context, framed by blanks (F10)."""
+    kept = F.filter("words", lambda w: w["tag"].isin(*lexical.CONTENT_TAGS))
+    return _in_context(spark, sf_dir).select("doc_id", lexical.framed(F.transform(kept, lambda w: w["token"])).alias("text"))
+
+
+@query
+def lemma_context(spark, sf_dir):
+    """Each token replaced by its verb lemma if its tag in context is verbal, else by its noun lemma (F9)."""
+    rows = _in_context(spark, sf_dir, lemmas=wk.lemmas(spark, sf_dir))
+    form = F.transform("words", lambda w: F.coalesce(F.when(F.lower(w["tag"]).contains("v"), w["v"]).otherwise(w["n"]), w["token"]))
+    return rows.select("doc_id", F.array_join(form, " ").alias("text"))
+
+
 @query
 def normalised_text(spark, sf_dir):
     stop, tags, lemmas = default_stop_words(spark), wk.word_tags(spark, sf_dir), wk.lemmas(spark, sf_dir)

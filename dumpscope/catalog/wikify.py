@@ -4,7 +4,7 @@ The given tables hold no wiki markup, so web pages are rendered into it by fixed
 pattern/replacement pairs that Java and RE2 read alike, so that the SQL oracles can apply them too.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dumpscope.constants import TITLE_MARKER
@@ -107,6 +107,36 @@ def word_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_words(spark, sf_dir).select("word", tag.alias("tag"))
 
 
+def ambiguous_word_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``word``, ``tag``: benchmark words with every tag that their ending allows, one row each."""
+    tags = (
+        F.when(F.endswith("word", F.lit("ing")), F.array(F.lit("VBG"), F.lit("NN")))
+        .when(F.endswith("word", F.lit("ed")), F.array(F.lit("VBD"), F.lit("JJ")))
+        .when(F.endswith("word", F.lit("s")), F.array(F.lit("NNS"), F.lit("VBZ")))
+        .when(F.endswith("word", F.lit("tion")), F.array(F.lit("NN")))
+        .otherwise(F.array(F.lit("DT")))
+    )
+    return benchmark_words(spark, sf_dir).select("word", F.explode(tags).alias("tag"))
+
+
+def tagged_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sentence``, ``pos``, ``word``, ``tag``: benchmark sentences tagged by a context rule.
+
+    A word with several tags is nominal (its first tag of ``NN``, ``NNS``, ``JJ``) after a word whose only tag is
+    ``DT``, else verbal (its first ``VB`` tag).
+    """
+    rows = table(spark, sf_dir, "benchmark").select("item_id", F.posexplode(F.split(ascii_only(F.col("text")), r"[.!?]")).alias("sn", "s"))
+    tokens = rows.select(F.struct("item_id", "sn").alias("sentence"), F.posexplode(words(F.col("s"))).alias("pos", "word"))
+    options = ambiguous_word_tags(spark, sf_dir).groupBy("word").agg(F.array_sort(F.collect_list("tag")).alias("tags"))
+    found = tokens.join(options, "word")
+    before = F.lag("tags").over(Window.partitionBy("sentence").orderBy("pos"))
+    nominal = F.filter("tags", lambda t: t.isin("NN", "NNS", "JJ"))
+    verbal = F.filter("tags", lambda t: t.startswith("VB"))
+    after_dt = F.coalesce(before == F.array(F.lit("DT")), F.lit(False))
+    tag = F.when(F.size("tags") == 1, F.col("tags")[0]).when(after_dt & (F.size(nominal) > 0), nominal[0]).when(F.size(verbal) > 0, verbal[0])
+    return found.select("sentence", "pos", "word", F.coalesce(tag, F.col("tags")[0]).alias("tag"))
+
+
 def lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``word``, ``pos``, ``lemma``: benchmark words without their endings."""
     base = benchmark_words(spark, sf_dir)

@@ -57,7 +57,7 @@ def content_tokens(tokens: DataFrame, word_tags: DataFrame, lemmas: DataFrame, t
     return found.select(*others, F.col("_form").alias("token"))
 
 
-def _framed(tokens: Column) -> Column:
+def framed(tokens: Column) -> Column:
     """A blank, then every token followed by a blank."""
     return F.concat(F.lit(" "), F.array_join(F.transform(tokens, lambda t: F.concat(t, F.lit(" "))), ""))
 
@@ -79,7 +79,7 @@ def keep_tagged(
     rows = numbered(df, key, tx.blank_tokens(F.col(text)).alias("_list"))
     tokens = explode_tokens(rows, "_id", F.col("_list"))
     kept = regroup_tokens(tagged_tokens(tokens, word_tags, tags), "_id")
-    return kept.select(F.col("_id.key").alias(key), _framed(F.col("tokens")).alias(name))
+    return kept.select(F.col("_id.key").alias(key), framed(F.col("tokens")).alias(name))
 
 
 def normalise_text(
@@ -97,7 +97,7 @@ def normalise_text(
     kept = filter_tokens(df, key, words, stop_words, keep=False, limit=limit)
     rows = explode_tokens(numbered(kept, key, F.col("tokens")), "_id", F.col("tokens"))
     content = regroup_tokens(content_tokens(rows, word_tags, lemmas), "_id")
-    return content.select(F.col("_id.key").alias(key), _framed(F.col("tokens")).alias(name))
+    return content.select(F.col("_id.key").alias(key), framed(F.col("tokens")).alias(name))
 
 
 def _grams(n: int) -> Column:
