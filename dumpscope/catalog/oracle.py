@@ -472,3 +472,33 @@ ORACLES["lemma_context"] = with_(*CONTEXT, LEMMAS) + regrouped(
     "LEFT JOIN (SELECT word, min(lemma) AS lemma FROM lem WHERE p = 'n' GROUP BY word) n ON token = n.word",
     "",
 )
+
+# Sentence ends learned from the corpus.
+_TERM = "CASE WHEN ({0}) = 0 THEN 0.0 ELSE ({0}) * ln({1}) END"
+_K, _C = "with_period", "(with_period + without_period)"
+_LEN = "length(replace(word, '.', ''))"
+_LOWER = "lower(coalesce(text, ''))"
+ABBREVIATIONS = [
+    f"tk AS (SELECT unnest({blank_list(_LOWER)}) AS t FROM documents)",
+    "ty AS (SELECT CASE WHEN ends_with(t, '.') THEN left(t, length(t) - 1) ELSE t END AS word, ends_with(t, '.') AS dot FROM tk)",
+    "tot AS (SELECT count(*) AS n, count(*) FILTER (WHERE dot) AS periods FROM ty)",
+    "cnt AS (SELECT word, count(*) FILTER (WHERE dot) AS with_period, count(*) FILTER (WHERE NOT dot) AS without_period "
+    "FROM ty WHERE regexp_full_match(word, '[a-z]+(\\.[a-z]+)*') GROUP BY word)",
+    "pr AS (SELECT CASE WHEN n = 0 THEN 0.0 ELSE periods / n END AS p FROM tot)",
+    "ab AS (SELECT word, with_period, without_period, CASE WHEN with_period > 0 THEN -2 * ("
+    + _TERM.format(_K, "p") + " + " + _TERM.format(f"{_C} - {_K}", "1 - p") + " - "
+    + _TERM.format(_K, "0.99") + " - " + _TERM.format(f"{_C} - {_K}", "1 - 0.99")
+    + f") * exp(-{_LEN}) * (length(word) - {_LEN} + 1) * pow({_LEN}, -({_C} - {_K})) ELSE 0.0 END AS score FROM cnt, pr)",
+]
+ORACLES["abbreviations"] = with_(*ABBREVIATIONS) + (
+    "SELECT word, with_period, without_period, round(score, 6) AS score, score >= 0.3 AS abbreviation FROM ab"
+)
+ORACLES["learned_sentences_long"] = with_(
+    *ABBREVIATIONS,
+    f"pc AS (SELECT doc_id, unnest(s) AS piece, generate_subscripts(s, 1) - 1 AS p FROM (SELECT doc_id, {sentence_list('text')} AS s FROM documents))",
+    f"la AS (SELECT *, lower(list_last(string_split_regex(piece, {q(BLANK)}))) AS last FROM pc)",
+    "fl AS (SELECT doc_id, p, piece, coalesce(CASE WHEN ends_with(last, '.') THEN left(last, length(last) - 1) END "
+    "IN (SELECT word FROM ab WHERE score >= 0.3), false) AS open FROM la)",
+    "st AS (SELECT *, CASE WHEN coalesce(lag(open) OVER (PARTITION BY doc_id ORDER BY p), false) THEN 0 ELSE 1 END AS s FROM fl)",
+    "nm AS (SELECT *, sum(s) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS n FROM st)",
+) + "SELECT doc_id, CAST(n AS BIGINT) AS pos, string_agg(piece, ' ' ORDER BY p) AS sentence FROM nm GROUP BY doc_id, n"

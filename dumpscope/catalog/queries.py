@@ -10,7 +10,7 @@ from dumpscope.functions import citations, markup
 from dumpscope.functions import text as tx
 from dumpscope.functions.titles import ascii_only, normalise_title
 from dumpscope.operators import articles as art
-from dumpscope.operators import context_tags, lexical, sentiment, stats
+from dumpscope.operators import context_tags, lexical, sentence_ends, sentiment, stats
 from dumpscope.operators import text as txt
 from dumpscope.operators.rank import with_position
 from dumpscope.operators.segment import segment
@@ -283,6 +283,20 @@ def avg_links_floor(spark, sf_dir):
 # Text
 
 
+@query
+def abbreviations(spark, sf_dir):
+    """Types of the corpus with their period counts and abbreviation score (F4, learned)."""
+    found = sentence_ends.abbreviations(_documents(spark, sf_dir), "text")
+    return found.select("word", "with_period", "without_period", F.round("score", 6).alias("score"), "abbreviation")
+
+
+@query
+def learned_sentences_long(spark, sf_dir):
+    """Sentences that are not cut after a learned abbreviation (F4)."""
+    docs = _documents(spark, sf_dir)
+    return sentence_ends.sentences(docs, "doc_id", "text", sentence_ends.abbreviations(docs, "text"))
+
+
 @query
 def sentences_long(spark, sf_dir):
     return _long(_documents(spark, sf_dir), "doc_id", tx.sentences(F.col("text")), "sentence")
