@@ -1,14 +1,24 @@
 """Repeated byte strings removed by a depth-limited radix sort of suffixes.
 
 Every whole text is taken as UTF-8 bytes (null: empty). A suffix is ordered only by its first ``WIDTH`` bytes, in
-most-significant-digit passes of ``DIGIT`` bytes: the first pass puts suffixes into buckets by their first digit, and a
-bucket that holds suffixes of one ``doc_id`` only is finished, since nothing in it can repeat across documents. The
-next pass orders what is left by its second digit within its bucket, and so on to ``WIDTH`` bytes. The equal groups at
-that depth are exactly the repeated windows; in each, every suffix of a document with a larger ``doc_id`` than the
-group's smallest is covered. A pass is a grouped aggregate of (bucket, digit) to the least and largest ``doc_id``
-(combined in each task before the shuffle, so a bucket of a third of all suffixes is no hot task) and a join of the
-suffixes with it, which adaptive execution splits where one bucket is large. A digit is a 64-bit polynomial hash of
-its bytes, so a window is told by 128 bits.
+most-significant-digit passes: each pass puts the suffixes that are left into buckets by one more digit, and a bucket
+that holds suffixes of one ``doc_id`` only is finished, since nothing in it can repeat across documents. The equal
+groups at depth ``WIDTH`` are exactly the repeated windows; in each, every suffix of a document with a larger
+``doc_id`` than the group's smallest is covered.
+
+The first digit is a window's anchor: the least hash of its ``ANCHOR``-byte strings (leftmost on ties). Equal windows
+have equal anchors, and a document holds only about 2 / (WIDTH - ANCHOR + 2) distinct anchors a byte, so this pass
+counts anchors, not suffixes: a grouped aggregate of anchor to the least and largest ``doc_id``, combined in each task
+before the shuffle, and a semi-join that tells each document its shared anchors. Only suffixes under a shared anchor
+are made at all. Consecutive windows under the same anchor string form a run; a run whose bytes, with the anchor's
+offset, a smaller ``doc_id`` also has is covered whole, by one row for the run (a grouped aggregate of its 128-bit key
+and a join). Only the windows of the other runs go on, one row each. The second digit is the whole window, as two 64-bit polynomial hashes of its halves (128 bits): a
+grouped aggregate of it to the least ``doc_id`` and a join of the suffixes with it, which adaptive execution splits
+where one bucket is large, so a bucket of a third of all suffixes is no hot task.
+
+The texts are written once as a table bucketed by row id, so that joining them with what each row learns moves only
+the smaller side. Before that, a text equal to that of a smaller ``doc_id`` is covered whole (if it has a window) and takes no part:
+each of its windows is in the smaller copy, which precedes every document that it could precede. No result changes.
 
 The bytes under covered windows are removed (overlaps count; windows are judged on the input). Per row: doc_id,
 n_bytes, n_removed, n_spans (maximal removed runs) and the SHA-256 of the bytes left. Matches never cross documents.
@@ -24,19 +34,23 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dumpscope.llm.common import as_bytes, bounded_batches, release, written
+from dumpscope.llm.common import as_bytes, bounded_batches, bucketed, release, written
 
 # Fixed values of the contract: window width in bytes.
 WIDTH = 50
 DIGIT = 25
+#: Bytes of the strings whose least hash is a window's anchor.
+ANCHOR = 12
 
 _BASES = (np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15 | 1))
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 SUFFIXES = "rid long, doc_id long, pos int, d1 long, d2 long"
+_RUNS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("rid", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
 RESULT = "rid long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -60,24 +74,84 @@ def digits(data: bytes, width: int = DIGIT, base: np.uint64 = _BASES[0]) -> np.n
     return h ^ (h >> np.uint64(32))
 
 
-def _suffixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def anchors(data: bytes) -> np.ndarray:
+    """Each window's anchor: the least hash of its ``ANCHOR``-byte strings (as int64)."""
+    if len(data) < WIDTH:
+        return np.zeros(0, np.int64)
+    g = digits(data, ANCHOR, _BASES[1])
+    spans = np.lib.stride_tricks.sliding_window_view(g, WIDTH - ANCHOR + 1)
+    return spans.min(axis=1).view(np.int64)
+
+
+def _anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
+    for batch in batches:
+        rids, ids = batch.column("rid").to_numpy(zero_copy_only=False), batch.column("doc_id").to_numpy(zero_copy_only=False)
+        for row, data in enumerate(as_bytes(batch.column("text"))):
+            found = np.unique(anchors(data))
+            if len(found):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found), pa.array(np.full(len(found), rids[row], np.int64)), pa.array(np.full(len(found), ids[row], np.int64))],
+                    names=["a", "rid", "doc_id"],
+                )
+    release()
+
+
+def minimizers(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Each window's anchor (as int64) and the position of the string that gives it."""
+    g = digits(data, ANCHOR, _BASES[1])
+    spans = np.lib.stride_tricks.sliding_window_view(g, WIDTH - ANCHOR + 1)
+    at = np.arange(len(spans)) + spans.argmin(axis=1)
+    return g[at].view(np.int64), at
+
+
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of windows under one shared anchor string: key of the run's bytes and anchor offset, first and last window."""
     release()
     for batch in batches:
-        rids, ids = batch.column("rid").to_numpy(zero_copy_only=False), batch.column("doc_id")
-        ids = ids.to_numpy(zero_copy_only=False)
+        rids, ids = batch.column("rid").to_numpy(zero_copy_only=False), batch.column("doc_id").to_numpy(zero_copy_only=False)
+        shared = batch.column("shared").to_pylist()
+        out = {"k1": [], "k2": [], "rid": [], "doc_id": [], "first": [], "last": []}
         for row, data in enumerate(as_bytes(batch.column("text"))):
             if len(data) < WIDTH:
                 continue
+            values, at = minimizers(data)
+            hit = np.isin(values, np.asarray(shared[row], np.int64))
+            windows = np.flatnonzero(hit)
+            if not len(windows):
+                continue
+            breaks = np.flatnonzero((np.diff(windows) != 1) | (np.diff(at[windows]) != 0)) + 1
+            for run in np.split(windows, breaks):
+                first, last = int(run[0]), int(run[-1])
+                key = xxhash.xxh3_128_digest(int(at[first] - first).to_bytes(4, "little") + data[first : last + WIDTH])
+                out["k1"].append(int.from_bytes(key[:8], "little", signed=True))
+                out["k2"].append(int.from_bytes(key[8:], "little", signed=True))
+                out["rid"].append(int(rids[row]))
+                out["doc_id"].append(int(ids[row]))
+                out["first"].append(first)
+                out["last"].append(last)
+        yield pa.RecordBatch.from_pydict(out, schema=_RUNS)
+    release()
+
+
+def _suffixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of the runs that no smaller document has whole: rid, doc_id, pos and the two digits."""
+    release()
+    for batch in batches:
+        rids, ids = batch.column("rid").to_numpy(zero_copy_only=False), batch.column("doc_id").to_numpy(zero_copy_only=False)
+        runs = batch.column("runs").to_pylist()
+        for row, data in enumerate(as_bytes(batch.column("text"))):
+            at = np.concatenate([np.arange(r["first"], r["last"] + 1) for r in runs[row]]) if runs[row] else np.zeros(0, np.int64)
+            if not len(at):
+                continue
             h = digits(data)
-            starts = len(data) - WIDTH + 1
-            d1, d2 = h[:starts], h[DIGIT : DIGIT + starts]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(starts, rids[row], np.int64)),
-                    pa.array(np.full(starts, int(ids[row]), np.int64)),
-                    pa.array(np.arange(starts, dtype=np.int32)),
-                    pa.array(d1.view(np.int64)),
-                    pa.array(d2.view(np.int64)),
+                    pa.array(np.full(len(at), rids[row], np.int64)),
+                    pa.array(np.full(len(at), ids[row], np.int64)),
+                    pa.array(at.astype(np.int32)),
+                    pa.array(h[at].view(np.int64)),
+                    pa.array(h[at + DIGIT].view(np.int64)),
                 ],
                 names=["rid", "doc_id", "pos", "d1", "d2"],
             )
@@ -91,25 +165,36 @@ def _pass(suffixes: DataFrame, keys: list[str]) -> DataFrame:
     return suffixes.join(shared, keys)
 
 
-def covered_starts(texts: DataFrame) -> DataFrame:
-    """rid, starts: the positions of covered windows of each row that has any."""
-    suffixes = texts.where(F.col("doc_id").isNotNull()).mapInArrow(_suffixes, SUFFIXES)
-    first = _pass(suffixes, ["d1"]).drop("first")
-    second = _pass(first, ["d1", "d2"]).where(F.col("doc_id") > F.col("first"))
-    return second.groupBy("rid").agg(F.collect_list("pos").alias("starts"))
+def covered_ranges(texts: DataFrame) -> DataFrame:
+    """rid, ranges: the byte ranges [start, end) of covered windows of each row that has any (``texts``: rid, doc_id, text)."""
+    marks = texts.mapInArrow(_anchors, "a long, rid long, doc_id long")
+    counted = marks.groupBy("a").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    shared = marks.select("a", "rid").join(counted.where(F.col("first") < F.col("last")).select("a"), "a", "left_semi")
+    shared = shared.groupBy("rid").agg(F.collect_list("a").alias("shared"))
+    runs = written(texts.join(shared, "rid").mapInArrow(_runs, "k1 long, k2 long, rid long, doc_id long, first int, last int"), "suffix_runs")
+    # A run whose bytes and anchor offset a smaller doc_id also has: each of its windows is in that document.
+    least = runs.groupBy("k1", "k2").agg(F.min("doc_id").alias("least"))
+    judged = runs.join(least, ["k1", "k2"]).select("rid", "doc_id", "first", "last", (F.col("doc_id") > F.col("least")).alias("whole"))
+    whole = judged.where("whole").select("rid", F.struct(F.col("first").alias("start"), (F.col("last") + WIDTH).alias("end")).alias("r"))
+    open_runs = judged.where(~F.col("whole")).groupBy("rid").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    suffixes = texts.join(open_runs, "rid").mapInArrow(_suffixes, SUFFIXES)
+    single = _pass(suffixes, ["d1", "d2"]).where(F.col("doc_id") > F.col("first"))
+    single = single.select("rid", F.struct(F.col("pos").alias("start"), (F.col("pos") + WIDTH).alias("end")).alias("r"))
+    return whole.unionByName(single).groupBy("rid").agg(F.collect_list("r").alias("ranges"))
 
 
 def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     release()
     for batch in batches:
-        starts = batch.column("starts").to_pylist()
+        ranges, copies = batch.column("ranges").to_pylist(), batch.column("copy").to_pylist()
         out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
-        for data, at in zip(as_bytes(batch.column("text")), starts):
+        for data, spans, copy in zip(as_bytes(batch.column("text")), ranges, copies):
             mask = np.zeros(len(data) + 1, np.int32)
-            if at:
-                at = np.asarray(at, np.int64)
-                np.add.at(mask, at, 1)
-                np.add.at(mask, at + WIDTH, -1)
+            if copy and len(data) >= WIDTH:
+                mask[0], mask[-1] = 1, -1
+            elif spans:
+                np.add.at(mask, np.array([r["start"] for r in spans], np.int64), 1)
+                np.add.at(mask, np.array([r["end"] for r in spans], np.int64), -1)
             removed = np.cumsum(mask[:-1]) > 0
             edges = np.diff(np.concatenate([[False], removed]).astype(np.int8))
             kept = np.frombuffer(data, np.uint8)[~removed].tobytes()
@@ -127,9 +212,21 @@ def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """One row per input row: rid, doc_id, n_bytes, n_removed, n_spans, kept_sha256 (module docstring)."""
-    texts = written(
-        bounded_batches(docs).select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), "text"), "suffix_texts"
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # Bucketed by row: the three joins on rid below move the small sides, never the texts.
+    texts = bucketed(
+        bounded_batches(docs).select(
+            F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), text.alias("text"), F.sha2(text, 256).alias("digest")
+        ),
+        "suffix_texts",
+        "rid",
     )
-    starts = covered_starts(texts)
-    both = texts.join(starts, "rid", "left")
-    return both.select("rid", "doc_id", "text", "starts").mapInArrow(_summaries, RESULT)
+    known = texts.where(F.col("doc_id").isNotNull())
+    firsts = known.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    # A copy of a text with a smaller doc_id: every window of it is covered.
+    copies = known.join(firsts, "digest").select("rid", (F.col("doc_id") > F.col("first")).alias("copy"))
+    own = texts.join(copies.where(~F.col("copy")).select("rid"), "rid", "left_semi").select("rid", "doc_id", "text")
+    found = copies.join(covered_ranges(own), "rid", "full")
+    both = texts.join(found, "rid", "left")
+    copy = F.coalesce(F.col("copy"), F.lit(False)).alias("copy")
+    return both.select("rid", "doc_id", "text", "ranges", copy).mapInArrow(_summaries, RESULT)
