@@ -491,7 +491,7 @@ ABBREVIATIONS = [
     + f") * exp(-{_LEN}) * (length(word) - {_LEN} + 1) * pow({_LEN}, -({_C} - {_K})) ELSE 0.0 END AS score FROM cnt, pr)",
 ]
 ORACLES["abbreviations"] = with_(*ABBREVIATIONS) + (
-    "SELECT word, with_period, without_period, round(score, 6) AS score, score >= 0.3 AS abbreviation FROM ab"
+    "SELECT word, with_period, without_period, round(score, 6) + 0.0 AS score, score >= 0.3 AS abbreviation FROM ab"
 )
 ORACLES["learned_sentences_long"] = with_(
     *ABBREVIATIONS,

@@ -287,7 +287,7 @@ def avg_links_floor(spark, sf_dir):
 def abbreviations(spark, sf_dir):
     """Types of the corpus with their period counts and abbreviation score (F4, learned)."""
     found = sentence_ends.abbreviations(_documents(spark, sf_dir), "text")
-    return found.select("word", "with_period", "without_period", F.round("score", 6).alias("score"), "abbreviation")
+    return found.select("word", "with_period", "without_period", (F.round("score", 6) + 0.0).alias("score"), "abbreviation")
 
 
 @query
