@@ -6,12 +6,13 @@ the first tag of a sentence following ``START``, and of (word, tag). Probabiliti
 ``P(w | t) = (c(w, t) + 1) / (c(t) + V)`` with V the distinct words of the table.
 
 The tags that a word may take come from a lexicon of (``word``, ``tag``) rows, several for a word; a word that the
-lexicon does not know has the one tag ``UNKNOWN`` with an emission of probability 1. Each sentence's tokens, with their
-candidates (tag, log emission) in tag order, are folded by ``aggregate``: the state holds, for each candidate of the
-last token, the best log score of a tag path that ends there and that path. A step extends, for each new candidate,
-the best predecessor (ties: the earlier in tag order). The tags are the path of the best final state (ties: the
-earlier). Everything is JVM-side; the transition table has at most T * T entries and enters the expression as a map
-literal, so T is checked against ``MAX_TAGS``. A step copies the paths, so a sentence costs its length squared.
+lexicon does not know has the one tag ``UNKNOWN`` with an emission of probability 1. Each text's tokens find their
+candidates (tag, log emission, in tag order) by ``looked_up``: where the text lies for a lexicon of at most ``limit``
+words, else by a join. A text is one list of tokens with a null behind each sentence, and one row throughout. ``tagger``
+goes over that list once, inside Arrow batches: for each candidate of a token it keeps the best log score of a tag path
+that ends there and the predecessor it came from (ties: the earlier in tag order), and at the end of a sentence it
+follows the predecessors back from the best last candidate (ties: the earlier). So a sentence costs its length. The
+transition table has at most T * T entries, as T is checked against ``MAX_TAGS``.
 
 Texts are cut into sentences after ``.``, ``!`` or ``?`` and whitespace, and sentences into whitespace tokens; null and
 empty texts give empty lists, rows with equal or null keys stay apart, and extra columns are not read.
@@ -20,17 +21,19 @@ empty texts give empty lists, rows with equal or null keys stay apart, and extra
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dumpscope.functions import text as tx
-from dumpscope.operators.tokens import numbered
+from dumpscope.operators.lookup import looked_up
+from dumpscope.operators.small import INLINE_LIMIT
 
 START, UNKNOWN = "<s>", "X"
 #: Tag sets larger than this are not a closed class; the transition map would not be bounded.
 MAX_TAGS = 256
-CANDIDATE = "array<struct<tag:string,emit:double>>"
 
 
 def transitions(tagged: DataFrame) -> dict[str, float]:
@@ -63,65 +66,101 @@ def candidates(lexicon: DataFrame, tagged: DataFrame) -> DataFrame:
     return listed.select(F.col("word").alias("_word"), "_cands")
 
 
-def viterbi(cands: Column, table: dict[str, float]) -> Column:
-    """The best tag path of a list of candidate lists (``array<array<struct<tag, emit>>>``), as ``array<string>``."""
-    pairs = F.create_map(*[x for k, v in sorted(table.items()) for x in (F.lit(k), F.lit(v))])
+def tagger(table: dict[str, float]) -> Callable:
+    """A function of three lists of a text to the best tag of each entry of the first, an ``array<string>``.
 
-    def move(p: Column, tag: Column) -> Column:
-        return F.coalesce(F.try_element_at(pairs, F.concat(p["tag"], F.lit(" "), tag)), F.try_element_at(pairs, p["tag"]))
-
-    empty = F.array().cast("array<string>")
-    start = F.array(F.struct(F.lit(START).alias("tag"), F.lit(0.0).alias("score"), empty.alias("path")))
-    none = F.struct(F.lit(None).cast("string").alias("tag"), F.lit(float("-inf")).alias("score"), empty.alias("path"))
-
-    def step(state: Column, token: Column) -> Column:
-        def extend(c: Column) -> Column:
-            def better(best: Column, p: Column) -> Column:
-                score = p["score"] + move(p, c["tag"])
-                won = F.struct(c["tag"].alias("tag"), score.alias("score"), F.concat(p["path"], F.array(c["tag"])).alias("path"))
-                return F.when(score > best["score"], won).otherwise(best)
-
-            best = F.aggregate(state, none, better)
-            return F.struct(best["tag"].alias("tag"), (best["score"] + c["emit"]).alias("score"), best["path"].alias("path"))
-
-        return F.transform(token, extend)
-
-    final = F.aggregate(cands, start, step)
-    top = F.aggregate(final, none, lambda best, s: F.when(s["score"] > best["score"], s).otherwise(best))
-    return F.coalesce(top["path"], empty)
-
-
-def tag_in_context(df: DataFrame, key: str, text: str, lexicon: DataFrame, tagged: DataFrame, lemmas: DataFrame | None = None) -> DataFrame:
+    ``kinds`` has the number of candidates of each token, 0 for an unknown one and -1 behind each sentence;
+    ``tags`` and ``emits`` are the candidates of all its tokens. Ends of sentences have no tag, nor have the tokens of
+    a sentence with no path, where only tags that the table lacks come before a token.
+    """
+    start, unseen, certain, only, none = START, [UNKNOWN], [0.0], [0], float("-inf")
+
+    def move(memo: dict, before: str | None, tag: str) -> float | None:
+        if (before, tag) not in memo:
+            memo[before, tag] = table.get(f"{before} {tag}", table.get(before))
+        return memo[before, tag]
+
+    def best_tags(memo: dict, kinds: list, tags: list, emits: list) -> list:
+        out: list = []
+        at, ends, scores, steps = 0, [start], [0.0], []
+        for kind in kinds:
+            if kind < 0:
+                top = max(range(len(scores)), key=scores.__getitem__)
+                path: list = [None] * (len(steps) + 1)
+                for i in range(len(steps) - 1, -1, -1) if scores[top] > none else ():
+                    path[i], top = steps[i][0][top], steps[i][1][top]
+                out += path
+                ends, scores, steps = [start], [0.0], []
+                continue
+            if kind:
+                options, emitted = tags[at : at + kind], emits[at : at + kind]
+                at += kind
+            else:
+                options, emitted = unseen, certain
+            if len(options) == 1 and len(scores) == 1:  # the most common step, without a choice
+                pair = ends[0], options[0]
+                moved = memo[pair] if pair in memo else move(memo, *pair)
+                if moved is not None:
+                    steps.append((options, only))
+                    ends, scores = options, [scores[0] + moved + emitted[0]]
+                    continue
+            reached, came = [], []
+            for tag, emit in zip(options, emitted):
+                best, origin = none, None
+                for i, score in enumerate(scores):
+                    moved = move(memo, ends[i], tag) if score > none else None
+                    if moved is not None and score + moved > best:
+                        best, origin = score + moved, i
+                reached.append(best + emit)
+                came.append(origin)
+            steps.append((options, came))
+            ends, scores = options, reached
+        return out
+
+    @F.arrow_udf("array<string>")
+    def tagged(kinds: pa.Array, tags: pa.Array, emits: pa.Array) -> pa.Array:
+        memo: dict = {}
+        kind = pa.list_(pa.string())
+        texts = [
+            pa.array([best_tags(memo, k.as_py(), t.as_py(), e.as_py())], kind) for k, t, e in zip(kinds, tags, emits)
+        ]
+        return pa.concat_arrays(texts) if texts else pa.array([], kind)
+
+    return tagged
+
+
+def tag_in_context(
+    df: DataFrame,
+    key: str,
+    text: str,
+    lexicon: DataFrame,
+    tagged: DataFrame,
+    lemmas: DataFrame | None = None,
+    limit: int = INLINE_LIMIT,
+) -> DataFrame:
     """``key`` and ``words``: the text's tokens in order as struct(token, tag[, v, n]) with the tag chosen in context.
 
     With ``lemmas`` (``word``, ``pos``, ``lemma``) each token also carries its verb (``v``) and noun (``n``) lemma.
+    The word tables are joined first, so that each token is looked up once.
     """
-    table = transitions(tagged)
-    rows = numbered(df, key, tx.sentences(F.col(text)).alias("_s"))
-    sentences = rows.select("_id", F.posexplode_outer("_s").alias("_sn", "_sentence"))
-    tokens = sentences.select(
-        F.struct("_id", "_sn").alias("_sid"), F.posexplode_outer(tx.blank_tokens(F.coalesce("_sentence", F.lit("")))).alias("pos", "token")
-    )
-    found = tokens.join(candidates(lexicon, tagged), F.col("token") == F.col("_word"), "left")
-    extra = []
+    words, extra = candidates(lexicon, tagged), []
     if lemmas is not None:
-        forms = lemmas.groupBy(F.col("word").alias("_lw")).agg(
-            *(F.min(F.when(F.col("pos") == p, F.col("lemma"))).alias(p) for p in "vn")
-        )
-        found = found.join(forms, F.col("token") == F.col("_lw"), "left")
-        extra = [F.col("v"), F.col("n")]
-    unknown = F.array(F.struct(F.lit(UNKNOWN).alias("tag"), F.lit(0.0).alias("emit"))).cast(CANDIDATE)
-    placed = F.when(F.col("token").isNotNull(), F.struct("pos", "token", F.coalesce("_cands", unknown).alias("cands"), *extra))
-    grouped = found.groupBy("_sid").agg(F.array_sort(F.collect_list(placed)).alias("_t"))
-    path = viterbi(F.col("_t.cands"), table)
-    fields = [F.col("_t.token").alias("token"), path.alias("tag")] + [F.col(f"_t.{x}").alias(x) for x in ("v", "n")[: len(extra)]]
-    zipped = F.arrays_zip(*fields)
-    tagged_sentences = grouped.select(F.col("_sid._id").alias("_id"), F.col("_sid._sn").alias("_sn"), zipped.alias("_w"))
-    documents = tagged_sentences.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("_sn", "_w"))).alias("_d"))
-    words = F.flatten(F.transform("_d", lambda s: F.coalesce(s["_w"], F.array().cast(zipped_type(len(extra))))))
-    return documents.select(F.col("_id.key").alias(key), words.alias("words"))
-
-
-def zipped_type(extra: int) -> str:
-    fields = "token:string,tag:string" + (",v:string,n:string" if extra else "")
-    return f"array<struct<{fields}>>"
+        forms = lemmas.where("word IS NOT NULL").groupBy(F.col("word").alias("_word"))
+        words = words.join(forms.agg(*(F.min(F.when(F.col("pos") == p, F.col("lemma"))).alias(p) for p in "vn")), "_word", "full_outer")
+        extra = ["v", "n"]
+    words = words.select("_word", F.struct(F.col("_cands").alias("cands"), *extra).alias("_value"))
+    end = F.array(F.lit(None).cast("string"))
+    tokens = F.flatten(F.transform(tx.sentences(F.col(text)), lambda s: F.concat(tx.blank_tokens(s), end)))
+    # Exploding keeps the lists columns of their own, that each use below reads and none computes anew.
+    found = looked_up(df, key, tokens, words, limit=limit)
+    found = found.select(key, F.explode(F.array(F.struct("tokens", "found"))).alias("_l")).select(key, "_l.*")
+    n_cands = F.zip_with(
+        "tokens", "found", lambda t, f: F.when(t.isNull(), -1).otherwise(F.when(f["cands"].isNull(), 0).otherwise(F.size(f["cands"])))
+    )
+    listed = F.flatten(F.filter(F.transform("found", lambda f: f["cands"]), lambda c: c.isNotNull()))
+    chosen = tagger(transitions(tagged))(n_cands, F.transform(listed, lambda c: c["tag"]), F.transform(listed, lambda c: c["emit"]))
+    chosen = found.select(key, "tokens", "found", chosen.alias("_tags"))
+    entries = F.arrays_zip(F.col("tokens").alias("token"), F.col("_tags").alias("tag"), F.col("found").alias("found"))
+    kept = F.filter(entries, lambda w: w["token"].isNotNull())
+    fields = lambda w: [w["token"].alias("token"), w["tag"].alias("tag"), *(w["found"][x].alias(x) for x in extra)]
+    return chosen.select(key, F.transform(kept, lambda w: F.struct(*fields(w))).alias("words"))
