@@ -1,4 +1,4 @@
-"""Table-driven lemmas, part-of-speech filter and entity tags, as joins on token tables."""
+"""Table-driven lemmas, part-of-speech filter and entity tags, by lookups in word tables and joins with phrases."""
 
 from collections import defaultdict
 
@@ -7,20 +7,22 @@ from pyspark.sql import functions as F
 
 from dumpscope.constants import ADJECTIVE_TAGS, NOUN_TAGS, VERB_TAGS
 from dumpscope.functions import text as tx
+from dumpscope.operators.lookup import dense, joined_hits, looked_up
 from dumpscope.operators.small import INLINE_LIMIT, inline_values, sql_list
-from dumpscope.operators.tokens import explode_tokens, filter_tokens, numbered, regroup_tokens
+from dumpscope.operators.tokens import filter_tokens
 
 CONTENT_TAGS = NOUN_TAGS + ADJECTIVE_TAGS + VERB_TAGS
 OUTSIDE = "O"
 
 
 def _tagged(word_tags: DataFrame, tags) -> DataFrame:
-    """``_word``: words with any of the tags."""
-    return word_tags.filter(F.col("tag").isin(*tags)).select(F.col("word").alias("_word")).distinct()
+    """``_word``, ``_value``: words with any of the tags, as they are."""
+    known = word_tags.filter(F.col("tag").isin(*tags)).select(F.col("word").alias("_word")).distinct()
+    return known.withColumn("_value", F.col("_word"))
 
 
 def _lemmatised(word_tags: DataFrame, lemmas: DataFrame) -> DataFrame:
-    """``_word``, ``_lemma``: the verb lemma of words of which any tag has a ``v``, else the noun lemma, or null.
+    """``_word``, ``_value``: the verb lemma of words of which any tag has a ``v``, else the noun lemma, or null.
 
     One row for each word that either table knows, from one aggregate over both.
     """
@@ -29,32 +31,14 @@ def _lemmatised(word_tags: DataFrame, lemmas: DataFrame) -> DataFrame:
     facts = word_tags.select("word", is_verb.alias("verb"), no.alias("v"), no.alias("n"))
     facts = facts.union(lemmas.select("word", F.lit(False), *of_pos)).filter("word IS NOT NULL")
     known = facts.groupBy(F.col("word").alias("_word")).agg(F.max("verb").alias("verb"), F.min("v").alias("v"), F.min("n").alias("n"))
-    return known.select("_word", F.when(F.col("verb"), F.col("v")).otherwise(F.col("n")).alias("_lemma"))
+    return known.select("_word", F.when(F.col("verb"), F.col("v")).otherwise(F.col("n")).alias("_value"))
 
 
-def lemma_tokens(tokens: DataFrame, word_tags: DataFrame, lemmas: DataFrame) -> DataFrame:
-    """Replace each token by its verb lemma if any of its tags has a ``v``, else by its noun lemma, if there is one."""
-    others = [c for c in tokens.columns if c != "token"]
-    known = _lemmatised(word_tags, lemmas).filter("_lemma IS NOT NULL")
-    found = tokens.join(known, F.col("token") == F.col("_word"), "left")
-    return found.select(*others, F.coalesce("_lemma", "token").alias("token"))
-
-
-def tagged_tokens(tokens: DataFrame, word_tags: DataFrame, tags=CONTENT_TAGS) -> DataFrame:
-    """Blank out (to null) the tokens with none of ``tags``."""
-    others = [c for c in tokens.columns if c != "token"]
-    found = tokens.join(_tagged(word_tags, tags), F.col("token") == F.col("_word"), "left")
-    kept = F.when(F.col("_word").isNotNull(), F.col("token"))
-    return found.select(*others, kept.alias("token"))
-
-
-def content_tokens(tokens: DataFrame, word_tags: DataFrame, lemmas: DataFrame, tags=CONTENT_TAGS) -> DataFrame:
-    """``lemma_tokens``, then ``tagged_tokens``, with one join on the tokens: the word tables are joined first."""
-    others = [c for c in tokens.columns if c != "token"]
-    forms = _lemmatised(word_tags, lemmas).select(F.col("_word").alias("_from"), F.coalesce("_lemma", "_word").alias("_form"))
-    forms = forms.join(_tagged(word_tags, tags), F.col("_form") == F.col("_word")).select("_from", "_form")
-    found = tokens.join(forms, F.col("token") == F.col("_from"), "left")
-    return found.select(*others, F.col("_form").alias("token"))
+def _content(word_tags: DataFrame, lemmas: DataFrame, tags=CONTENT_TAGS) -> DataFrame:
+    """``_word``, ``_value``: the lemmas, or words without one, that have any of the tags; the word tables are joined first."""
+    forms = _lemmatised(word_tags, lemmas).select(F.col("_word").alias("_from"), F.coalesce("_value", "_word").alias("_form"))
+    forms = forms.join(_tagged(word_tags, tags), F.col("_form") == F.col("_word"))
+    return forms.select(F.col("_from").alias("_word"), F.col("_form").alias("_value"))
 
 
 def framed(tokens: Column) -> Column:
@@ -62,24 +46,26 @@ def framed(tokens: Column) -> Column:
     return F.concat(F.lit(" "), F.array_join(F.transform(tokens, lambda t: F.concat(t, F.lit(" "))), ""))
 
 
+def _kept(found: DataFrame, key: str, name: str) -> DataFrame:
+    """``key`` and the values that were found, framed by blanks."""
+    return found.select(key, framed(F.filter("found", lambda t: t.isNotNull())).alias(name))
+
+
 def lemmatise(
-    df: DataFrame, key: str, text: str, word_tags: DataFrame, lemmas: DataFrame, name: str = "text"
+    df: DataFrame, key: str, text: str, word_tags: DataFrame, lemmas: DataFrame, name: str = "text", limit: int = INLINE_LIMIT
 ) -> DataFrame:
-    """``key`` and the text with every whitespace token replaced by its lemma."""
-    rows = numbered(df, key, tx.blank_tokens(F.col(text)).alias("_list"))
-    tokens = explode_tokens(rows, "_id", F.col("_list"))
-    replaced = regroup_tokens(lemma_tokens(tokens, word_tags, lemmas), "_id")
-    return replaced.select(F.col("_id.key").alias(key), tx.join_tokens(F.col("tokens")).alias(name))
+    """``key`` and the text with every whitespace token replaced by its lemma, if there is one."""
+    known = _lemmatised(word_tags, lemmas).filter("_value IS NOT NULL")
+    found = looked_up(df, key, tx.blank_tokens(F.col(text)), known, limit=limit)
+    replaced = F.zip_with("tokens", "found", lambda token, lemma: F.coalesce(lemma, token))
+    return found.select(key, tx.join_tokens(replaced).alias(name))
 
 
 def keep_tagged(
-    df: DataFrame, key: str, text: str, word_tags: DataFrame, tags=CONTENT_TAGS, name: str = "text"
+    df: DataFrame, key: str, text: str, word_tags: DataFrame, tags=CONTENT_TAGS, name: str = "text", limit: int = INLINE_LIMIT
 ) -> DataFrame:
     """``key`` and the whitespace tokens of the text whose tag is one of ``tags``, framed by blanks."""
-    rows = numbered(df, key, tx.blank_tokens(F.col(text)).alias("_list"))
-    tokens = explode_tokens(rows, "_id", F.col("_list"))
-    kept = regroup_tokens(tagged_tokens(tokens, word_tags, tags), "_id")
-    return kept.select(F.col("_id.key").alias(key), framed(F.col("tokens")).alias(name))
+    return _kept(looked_up(df, key, tx.blank_tokens(F.col(text)), _tagged(word_tags, tags), limit=limit), key, name)
 
 
 def normalise_text(
@@ -92,19 +78,17 @@ def normalise_text(
     name: str = "text",
     limit: int = INLINE_LIMIT,
 ) -> DataFrame:
-    """Stop words out, lemmas in, then nouns, adjectives and verbs only; tokens are grouped once."""
+    """Stop words out, lemmas in, then nouns, adjectives and verbs only; each token is looked up once in the joined word tables."""
     words = tx.words(F.coalesce(text, F.lit("")))
     kept = filter_tokens(df, key, words, stop_words, keep=False, limit=limit)
-    rows = explode_tokens(numbered(kept, key, F.col("tokens")), "_id", F.col("tokens"))
-    content = regroup_tokens(content_tokens(rows, word_tags, lemmas), "_id")
-    return content.select(F.col("_id.key").alias(key), framed(F.col("tokens")).alias(name))
+    return _kept(looked_up(kept, key, F.col("tokens"), _content(word_tags, lemmas), limit=limit), key, name)
 
 
-def _grams(n: int) -> Column:
+def _grams(n: int, tokens: str = "_tokens") -> Column:
     """The n-gram at each position, null at the last ones, by pairing the token list with itself moved on."""
-    phrases = F.col("_tokens")
+    phrases = F.col(tokens)
     for k in range(1, n):
-        moved = F.slice("_tokens", k + 1, F.greatest(F.size("_tokens"), F.lit(1)))
+        moved = F.slice(tokens, k + 1, F.greatest(F.size(tokens), F.lit(1)))
         phrases = F.zip_with(phrases, moved, lambda a, b: F.concat(a, F.lit(" "), b))
     return phrases
 
@@ -131,32 +115,23 @@ def _inline_hits(texts: DataFrame, key: str, entries: list) -> DataFrame:
     return texts
 
 
-def _joined_hits(texts: DataFrame, key: str, phrases: DataFrame, lengths: list[int]) -> DataFrame:
-    """Longest hit per position, from a join of all n-grams with the phrases."""
+def _joined_hits(df: DataFrame, key: str, tokens: Column, phrases: DataFrame, lengths: list[int]) -> DataFrame:
+    """Longest hit per position, from a join of all n-grams with the phrases; only n-grams that are phrases are grouped."""
 
     def placed(n: int) -> Column:
-        grams = F.transform(_grams(n), lambda p, i: F.struct(i.alias("pos"), F.lit(n).alias("n"), p.alias("phrase")))
-        return F.filter(grams, lambda g: g["phrase"].isNotNull())
-
-    every = F.concat(*[placed(n) for n in sorted({1, *lengths})])
-    texts = numbered(texts, key, F.col("_tokens")).repartition("_id")
-    rows = texts.select("_id", F.explode_outer(every).alias("_gram")).select("_id", "_gram.*")
-    found = rows.join(phrases, "phrase", "left").filter("n = 1 OR n IS NULL OR _tag IS NOT NULL")
-    gram = F.when(F.col("pos").isNotNull(), F.struct("pos", "n", "phrase", "_tag"))
-    texts = found.groupBy("_id").agg(F.array_sort(F.collect_list(gram)).alias("_rows"))
-
-    following = F.concat(F.slice("_rows", 2, F.greatest(F.size("_rows"), F.lit(1))), F.array(F.lit(None)))
-    rows = F.zip_with("_rows", following, lambda r, f: F.struct(r.alias("row"), f["pos"].alias("next")))
-    longest = F.filter(rows, lambda r: ~r["row"]["pos"].eqNullSafe(r["next"]))
-    hits = F.transform(
-        longest,
-        lambda r: F.struct(
-            F.when(r["row"]["_tag"].isNotNull(), r["row"]["n"]).otherwise(0).alias("n"),
-            F.coalesce(r["row"]["_tag"], F.lit(OUTSIDE)).alias("tag"),
-        ),
-    )
-    tokens = F.transform(F.filter("_rows", lambda r: r["n"] == 1), lambda r: r["phrase"])
-    return texts.select(F.col("_id.key").alias(key), tokens.alias("_tokens"), hits.alias("_hits"))
+        return F.transform(_grams(n, "tokens"), lambda p, i: F.struct(i.alias("pos"), F.lit(n).alias("n"), p.alias("word")))
+
+    every = F.concat(F.array().cast("array<struct<pos:int,n:int,word:string>>"), *[placed(n) for n in sorted(lengths)])
+    table = phrases.select(F.col("phrase").alias("_word"), F.col("_tag").alias("_value"))
+    found = joined_hits(df, key, tokens, every, table)
+
+    following = F.concat(F.slice("hits", 2, F.greatest(F.size("hits"), F.lit(1))), F.array(F.lit(None)))
+    pairs = F.zip_with("hits", following, lambda h, f: F.struct(h.alias("hit"), f["pos"].alias("next")))
+    longest = F.filter(pairs, lambda p: p["hit"].isNotNull() & ~p["hit"]["pos"].eqNullSafe(p["next"]))
+    texts = found.select(key, "tokens", F.transform(longest, lambda p: p["hit"]).alias("_longest"))
+    none = F.struct(F.lit(0).alias("n"), F.lit(OUTSIDE).alias("tag"))
+    hits = dense(F.col("_longest"), F.size("tokens"), lambda h: F.struct(h["n"].alias("n"), h["value"].alias("tag")), none)
+    return texts.select(key, F.col("tokens").alias("_tokens"), hits.alias("_hits"))
 
 
 def entity_tags(
@@ -165,21 +140,22 @@ def entity_tags(
     """``key`` and, per whitespace token, a (token, tag) pair from the longest phrase that starts first.
 
     Up to ``limit`` phrases are held in the expression, and every text is tagged where it lies. More are joined with
-    the word n-grams of the lengths they have; an n-gram finds at most one phrase, whichever words are common.
+    the word n-grams of the lengths they have; an n-gram finds at most one phrase, whichever words are common, and
+    only n-grams that found one are grouped by text again.
     Per text, the longest hit of each position becomes one letter, and a pattern of one alternative per
     length reads the letters from left to right, skipping what a chosen phrase covers. Tokens outside
     phrases are tagged ``O``.
     """
     phrases = entities.filter("phrase <> ''").groupBy("phrase").agg(F.min("tag").alias("_tag"))
     sized = phrases.withColumn("_n", F.size(F.split("phrase", " ")))
-    texts = df.select(key, F.coalesce(tx.blank_tokens(F.col(text)), F.array().cast("array<string>")).alias("_tokens"))
+    tokens = F.coalesce(tx.blank_tokens(F.col(text)), F.array().cast("array<string>"))
     entries = inline_values(sized, limit)
     if entries is not None:
         lengths = sorted({row["_n"] for row in entries})
-        texts = _inline_hits(texts, key, entries)
+        texts = _inline_hits(df.select(key, tokens.alias("_tokens")), key, entries)
     else:
         lengths = sorted(row[0] for row in sized.select("_n").distinct().collect())
-        texts = _joined_hits(texts, key, phrases, lengths)
+        texts = _joined_hits(df, key, tokens, phrases, lengths)
 
     letters = [chr(0x100 + n) for n in range(max(lengths, default=0) + 1)]
     readings = "|".join([letters[n] + "." * (n - 1) for n in reversed(lengths)] + [letters[0]])

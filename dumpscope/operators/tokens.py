@@ -3,19 +3,20 @@
 A token list is looked up in one of two ways. A word table with at most ``INLINE_LIMIT`` rows becomes a hash set
 inside the expression, so each row is filtered where it is. A larger one is joined: rows are spread by their
 key before they are exploded, so the regrouping that follows needs no further shuffle when the join is
-broadcast. No join carries a hint: Catalyst broadcasts a side below its size threshold and otherwise
-sort-merges, where adaptive execution splits hot words.
+broadcast, and only the tokens that were found are grouped again. No join carries a hint: Catalyst broadcasts a
+side below its size threshold and otherwise sort-merges, where adaptive execution splits hot words.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dumpscope.operators.lookup import id_of, looked_up
 from dumpscope.operators.small import INLINE_LIMIT, inline_values, sql_list
 
 
 def numbered(df: DataFrame, key: str, *values: Column) -> DataFrame:
     """``_id``, a number of the row with its ``key``, and the values: rows with equal or null keys stay apart."""
-    return df.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key")).alias("_id"), *values)
+    return df.select(id_of(key).alias("_id"), *values)
 
 
 def explode_tokens(df: DataFrame, key: str, tokens: Column) -> DataFrame:
@@ -55,8 +56,8 @@ def filter_tokens(
         test = f"coalesce({form} IN ({members}), false) = {str(keep).lower()}"
         listed = df.select(key, tokens.alias("_tokens"))
         return listed.select(key, F.expr(f"filter(_tokens, token -> {test})").alias("tokens"))
-    rows = explode_tokens(numbered(df, key, tokens.alias("_list")), "_id", F.col("_list"))
-    found = rows.join(known.distinct(), F.expr(form) == F.col("_word"), "left")
-    hit = F.col("_word").isNotNull() if keep else F.col("_word").isNull()
-    grouped = regroup_tokens(found.select("_id", "pos", F.when(hit, F.col("token")).alias("token")), "_id")
-    return grouped.select(F.col("_id.key").alias(key), "tokens")
+    table = known.distinct().withColumn("_value", F.lit(True))
+    found = looked_up(df, key, tokens, table, form=form, limit=0)
+    marked = F.arrays_zip(F.col("tokens").alias("token"), F.col("found").alias("found"))
+    kept = F.filter(marked, lambda t: t["found"].isNotNull() if keep else t["found"].isNull())
+    return found.select(key, F.transform(kept, lambda t: t["token"]).alias("tokens"))
