@@ -56,7 +56,9 @@ def joined_hits(df: DataFrame, key: str, tokens: Column, places: Column, table:
     each ``_word`` with its ``_value``. The row that carries the tokens has a word of its own, as one null word for
     all of them would be one hot key.
     """
-    moved = df.withColumn("_id", id_of(key)).repartition("_id")
+    # A fixed number of partitions is not coalesced: the rows made of a partition are several times its texts.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    moved = df.withColumn("_id", id_of(key)).repartition(partitions, "_id")
     lists = moved.select("_id", F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens"))
     own = F.concat(F.lit(" "), F.col("_id.row").cast("string"))
     carrier = F.struct(F.lit(-1).alias("pos"), F.lit(0).alias("n"), own.alias("word"), F.col("tokens").alias("tokens"))
