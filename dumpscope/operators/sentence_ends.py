@@ -54,10 +54,10 @@ def abbreviations(df: DataFrame, text: str) -> DataFrame:
     counts, totals = period_counts(df, text)
     k, c = F.col("with_period"), F.col("with_period") + F.col("without_period")
     q = F.lit(ABBREVIATION_PERIOD)
-    # The two numbers go beside the counts that they are summed from. The condition on types reads a column of both, so
-    # it stays above the join and the one aggregate serves both sides.
-    counts = counts.crossJoin(F.broadcast(totals)).where("coalesce(word, if(n < 0, '', NULL)) IS NOT NULL")
-    p = F.col("periods") / F.col("n")
+    counts = counts.where("word IS NOT NULL")
+    # Two numbers.
+    n, periods = totals.first()
+    p = F.lit(periods / n if n else 0.0)
 
     def term(count: Column, prob: Column) -> Column:
         return F.when(count == 0, F.lit(0.0)).otherwise(count * F.log(prob))
