@@ -158,9 +158,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, source: DataFrame | None = None) -> DataFrame:
     """The documents with a score of ``THRESHOLD`` or more, all columns as given; learnt from ``source``, or else from themselves."""
-    source = (docs if source is None else source).select(F.col("doc_id").cast("long"), "text")
-    labelled = source.join(labels.select(F.col("doc_id").cast("long")).distinct(), "doc_id", "left_semi")
-    shared = docs.sparkSession.sparkContext.broadcast(fit(written(features(labelled), "features"), labels))
+    # Only statistics meet the labels: a join of the texts would move every text of the source.
+    table = written(features(docs if source is None else source), "features")
+    shared = docs.sparkSession.sparkContext.broadcast(fit(table, labels))
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in runs(batches):

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -54,10 +55,26 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What runs inside has its shuffle files removed when it ends: a written table is read back, never its shuffles.
+
+    Otherwise they stay until the driver happens to collect its garbage, those of all steps so far at once.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read back from a Parquet table in the shared folder; later jobs start from there."""
     path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -71,7 +88,8 @@ def bucketed(df: DataFrame, name: str, *keys: str) -> DataFrame:
     table = f"{name}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = df.write.bucketBy(buckets, *keys).sortBy(*keys).option("compression", "zstd").option("path", new_path(spark, name))
-    writer.saveAsTable(table)
+    with shuffles_dropped(spark):
+        writer.saveAsTable(table)
     return spark.table(table)
 
 
