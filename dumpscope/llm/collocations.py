@@ -31,6 +31,8 @@ GAP = r"[\x20\x09]+"
 LEAST = 100
 SHORTEST, LONGEST = 2, 5
 TOP = 2000
+#: Frequent phrases of a length up to this many rows are broadcast; beyond, the semi-join is shuffled.
+FEW = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 EXACT = "decimal(38,0)"
@@ -50,8 +52,10 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 def frequent(occ: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(phrases with their count ``f`` where f >= least, occurrences of those phrases)."""
-    counts = occ.groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= least)
-    kept = occ.join(counts.select("lang", "phrase"), ["lang", "phrase"], "left_semi")
+    counts = written(occ.groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= least), "frequent_counts")
+    groups = counts.select("lang", "phrase")
+    # Few groups go to the occurrences, which then stay where they are.
+    kept = occ.join(F.broadcast(groups) if counts.count() <= FEW else groups, ["lang", "phrase"], "left_semi")
     return counts, kept
 
 
@@ -62,12 +66,13 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     level = words.select("lang", "rid", "piece", "pos", F.col("word").alias("phrase"))
     counts, level = frequent(level, least)
     # Only frequent words can extend a frequent phrase.
-    next_word = written(level.select("rid", "piece", F.col("pos").alias("at"), F.col("phrase").alias("word")), "frequent_words")
+    level = written(level, "phrases1")
+    next_word = level.select("rid", "piece", F.col("pos").alias("at"), F.col("phrase").alias("word"))
     found = [counts.withColumn("k", F.lit(1))]
     for k in range(1, longest):
-        level = written(level, f"phrases{k}")
-        longer = level.join(next_word, (level.rid == next_word.rid) & (level.piece == next_word.piece) & (next_word.at == level.pos + k))
-        longer = longer.select("lang", level.rid, level.piece, "pos", F.concat_ws(" ", "phrase", "word").alias("phrase"))
+        level = written(level, f"phrases{k}") if k > 1 else level
+        starts = level.withColumn("at", F.col("pos") + k)
+        longer = starts.join(next_word, ["rid", "piece", "at"]).select("lang", "rid", "piece", "pos", F.concat_ws(" ", "phrase", "word").alias("phrase"))
         counts, level = frequent(longer, least)
         found.append(counts.withColumn("k", F.lit(k + 1)))
     union = found[0]

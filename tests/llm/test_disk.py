@@ -4,7 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from dumpscope.llm import classifier, common
+from dumpscope.llm import classifier, collocations, common
 
 
 def plan(df):
@@ -41,3 +41,19 @@ def test_learning_moves_no_text(spark, monkeypatch):
     labels = spark.createDataFrame([(k, k % 2) for k in range(0, 40, 3)], "doc_id long, quality int")
     classifier.keep_good(docs, labels, docs).collect()
     assert len(plans) == 1 and "Join" not in plans[0] and "Exchange" not in plans[0]
+
+
+def test_few_frequent_phrases_move_no_occurrence(spark, monkeypatch):
+    """op12: occurrences stay where they are for few frequent phrases; shuffled, the rows are the same."""
+    rows = [(("en", "de", None)[k % 3], k, 0, 0, f"w{k % 11}") for k in range(60)]
+    occ = spark.createDataFrame(rows, "lang string, rid long, piece int, pos int, phrase string").na.fill("und", ["lang"])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        _, few = collocations.frequent(occ, 2)
+        assert "BroadcastHashJoin" in plan(few) and "SortMergeJoin" not in plan(few)
+        monkeypatch.setattr(collocations, "FEW", 0)
+        _, many = collocations.frequent(occ, 2)
+        assert "SortMergeJoin" in plan(many) and sorted(many.collect()) == sorted(few.collect()) != []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
