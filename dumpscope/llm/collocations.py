@@ -3,7 +3,7 @@
 Texts are lower-cased in A-Z only, cut into pieces at ``PIECE`` and the pieces into words at ``GAP``. Everything is
 counted per language (null: ``und``). The relation of word occurrences (language, row, piece, position, word) is written
 once. For each length k from 1 to 4 the relation of occurrences of frequent k-word phrases is joined with the word
-relation on row, piece and the position right after the phrase (a merge join of two relations sorted by those keys),
+relation on row, piece and the position right after the phrase (a merge join of two relations in buckets by row, so neither moves),
 the new phrases are counted by a grouped count, and only occurrences of phrases that reach ``LEAST`` are kept (a
 semi-join with the frequent groups) before the next length. Every prefix of a frequent phrase is frequent, so no
 phrase of 2 to 5 words with ``LEAST`` occurrences or more is missed.
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dumpscope.llm.common import written
+from dumpscope.llm.common import bucketed, joined_by_bucket, written
 
 # Fixed values of the contract: piece ends, word gaps, least count, lengths, report size.
 PIECE = r"[.,;:!?\x0A-\x0D]"
@@ -44,6 +44,8 @@ def occurrences(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.monotonically_increasing_id().alias("rid"), text.alias("t")
     )
+    # Texts move once, by row; then every relation lies in buckets by row, and joins of them move nothing.
+    rows = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rid")
     pieces = rows.select("lang", "rid", F.posexplode(F.split("t", PIECE)).alias("piece", "p"))
     words = pieces.select("lang", "rid", "piece", F.posexplode(F.split("p", GAP)).alias("pos", "word"))
     # A gap at the start of a piece gives one empty word at position 0; the others follow without a hole.
@@ -61,19 +63,20 @@ def frequent(occ: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
 
 def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """(every phrase of 1 to ``longest`` words with f >= least, with its word count k; word totals n per language)."""
-    words = written(occurrences(docs), "occurrences")
+    words = bucketed(occurrences(docs), "occurrences", "rid")
     totals = words.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     level = words.select("lang", "rid", "piece", "pos", F.col("word").alias("phrase"))
     counts, level = frequent(level, least)
     # Only frequent words can extend a frequent phrase.
-    level = written(level, "phrases1")
+    level = bucketed(level, "phrases1", "rid")
     next_word = level.select("rid", "piece", F.col("pos").alias("at"), F.col("phrase").alias("word"))
     found = [counts.withColumn("k", F.lit(1))]
     for k in range(1, longest):
-        level = written(level, f"phrases{k}") if k > 1 else level
         starts = level.withColumn("at", F.col("pos") + k)
         longer = starts.join(next_word, ["rid", "piece", "at"]).select("lang", "rid", "piece", "pos", F.concat_ws(" ", "phrase", "word").alias("phrase"))
-        counts, level = frequent(longer, least)
+        with joined_by_bucket(docs.sparkSession):
+            counts, level = frequent(longer, least)
+            level = bucketed(level, f"phrases{k + 1}", "rid") if k + 1 < longest else level
         found.append(counts.withColumn("k", F.lit(k + 1)))
     union = found[0]
     for more in found[1:]:

@@ -56,20 +56,29 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """What runs inside has its shuffle files removed when it ends: a written table is read back, never its shuffles.
-
-    Otherwise they stay until the driver happens to collect its garbage, those of all steps so far at once.
-    """
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, "false")
-    spark.conf.set(name, "true")
+def setting(spark: SparkSession, name: str, value: str, default: str) -> Iterator[None]:
+    """A setting of the session that holds for what is run inside."""
+    before = spark.conf.get(name, default)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def shuffles_dropped(spark: SparkSession):
+    """What runs inside has its shuffle files removed when it ends: a written table is read back, never its shuffles.
+
+    Otherwise they stay until the driver happens to collect its garbage, those of all steps so far at once.
+    """
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true", "false")
+
+
+def joined_by_bucket(spark: SparkSession):
+    """Joins that run inside, of tables bucketed by some of the join's keys, move neither side."""
+    return setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false", "true")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read back from a Parquet table in the shared folder; later jobs start from there."""
     path = new_path(df.sparkSession, name)

@@ -57,3 +57,20 @@ def test_few_frequent_phrases_move_no_occurrence(spark, monkeypatch):
         assert "SortMergeJoin" in plan(many) and sorted(many.collect()) == sorted(few.collect()) != []
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_relations_join_in_their_buckets(spark, monkeypatch):
+    """op12: texts move once by row; the join of phrases with the next word moves neither side."""
+    plans = []
+    monkeypatch.setattr(collocations, "bucketed", lambda df, name, *keys: plans.append(plan(df)) or common.bucketed(df, name, *keys))
+    docs = spark.createDataFrame([(k, "a b a b. c", "en") for k in range(8)], "doc_id long, text string, lang string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found, _ = collocations.phrases(docs, 2, 3)
+        assert {(r.phrase, r.f) for r in found.collect()} == {("a", 16), ("b", 16), ("c", 8), ("a b", 16), ("b a", 8), ("a b a", 8), ("b a b", 8)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    first, *others = plans
+    assert first.count("Exchange hashpartitioning") == 1
+    assert "SortMergeJoin" in others[-1] and not any("Exchange hashpartitioning" in p for p in others)
