@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import resource
 import tempfile
 import uuid
 import zlib
@@ -17,6 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Texts handled at once in a task are cut into runs of about so many bytes.
 RUN_BYTES = 4 << 20
+#: Growth of a worker that is not worth giving back.
+SPARE_BYTES = 8 << 20
+#: Bytes that this process held when it last gave memory back.
+_held = 0
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,16 +44,30 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def _resident() -> int:
+    """Bytes of memory that this process holds; 0 where the system does not tell."""
+    try:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * resource.getpagesize()
+    except OSError:
+        return 0
+
+
 def release() -> None:
-    """Give memory that the Python worker has freed back to the machine.
+    """Give memory that the Python worker has freed back to the machine, if it has grown since the last time.
 
-    Workers live on between tasks, and their allocators would keep the most that any task so far has needed.
+    Workers live on between tasks, and their allocators would keep the most that any task so far has needed. A collection takes
+    longer than a small task, so workers that hold about what they held before go without.
     """
+    global _held
+    if 0 < _resident() <= _held + SPARE_BYTES:
+        return
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)
+    _held = _resident()
 
 
 def new_path(spark: SparkSession, name: str) -> str:

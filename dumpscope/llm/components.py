@@ -1,4 +1,8 @@
-"""Connected components of a table of links, as joins and aggregates in a logarithmic number of rounds."""
+"""Connected components of a table of links, as joins and aggregates in a logarithmic number of rounds.
+
+Each task first replaces its links by a forest that joins the same nodes. A table of up to ``BLOCK`` links after that, which is what
+a task contracts at once, needs no rounds: one such contraction is the result.
+"""
 
 from __future__ import annotations
 
@@ -11,24 +15,38 @@ from pyspark.sql import functions as F
 from dumpscope.llm.common import written
 
 
-def _contract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch, links of the same components in which every node points at the least one."""
-    for batch in batches:
-        parent: dict[int, int] = {}
+#: Links that a task contracts at once, some 50 MB in Python.
+BLOCK = 1 << 18
+
+
+def _forest(parent: dict[int, int]) -> pa.RecordBatch:
+    """Links in which every node points at the least one of its component; empties ``parent``."""
+    pairs = [(x, _root(parent, x)) for x in list(parent)]
+    pairs = [(x, r) for x, r in pairs if x != r]
+    parent.clear()
+    return pa.record_batch([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["hi", "lo"])
 
-        def root(x: int, parent=parent) -> int:
-            while (p := parent.setdefault(x, x)) != x:
-                parent[x] = x = parent[p]
-            return x
 
+def _root(parent: dict[int, int], x: int) -> int:
+    while (p := parent.setdefault(x, x)) != x:
+        parent[x] = x = parent[p]
+    return x
+
+
+def _contract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per ``BLOCK`` links, links of the same components in which every node points at the least one."""
+    parent: dict[int, int] = {}
+    seen = 0
+    for batch in batches:
         for a, b in zip(batch.column("hi").to_pylist(), batch.column("lo").to_pylist(), strict=True):
-            a, b = root(a), root(b)
+            if seen == BLOCK:
+                yield _forest(parent)
+                seen = 0
+            seen += 1
+            a, b = _root(parent, a), _root(parent, b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-        pairs = [(x, root(x)) for x in list(parent)]
-        pairs = [(x, r) for x, r in pairs if x != r]
-        columns = [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)]
-        yield pa.record_batch(columns, names=["hi", "lo"])
+    yield _forest(parent)
 
 
 def _round(links: DataFrame) -> DataFrame:
@@ -45,7 +63,11 @@ def _round(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``id`` and ``component``, the least id it is connected with, of every node of ``links`` (a, b) but the least ones."""
     pairs = links.filter("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
-    pairs = written(pairs.distinct().mapInArrow(_contract, "hi long, lo long"), "links")
+    pairs = written(pairs.mapInArrow(_contract, "hi long, lo long"), "links")
+    if pairs.count() <= BLOCK:
+        pairs = written(pairs.coalesce(1).mapInArrow(_contract, "hi long, lo long"), "links")
+        return pairs.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
+    pairs = written(pairs.distinct(), "links")
     state = None
     while True:
         seen = pairs.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo") % (1 << 40))).first()

@@ -74,3 +74,29 @@ def test_relations_join_in_their_buckets(spark, monkeypatch):
     first, *others = plans
     assert first.count("Exchange hashpartitioning") == 1
     assert "SortMergeJoin" in others[-1] and not any("Exchange hashpartitioning" in p for p in others)
+
+
+def test_few_links_need_no_rounds(spark, monkeypatch):
+    """pipeline, op1: links that fit one task are contracted there; beyond, rounds of joins give the same components."""
+    from dumpscope.llm import components
+
+    pairs = [(k, k + 3) for k in range(0, 60)] + [(100, 7), (200, 201), (201, 200), (5, 5), (-4, 8), (300, 299)]
+    links = spark.createDataFrame(pairs, "a long, b long").repartition(5)
+    rounds, once = [], components._round
+    monkeypatch.setattr(components, "_round", lambda df: rounds.append(1) or once(df))
+    few = sorted(map(tuple, components.components(links).collect()))
+    assert not rounds
+    monkeypatch.setattr(components, "BLOCK", 4)
+    assert sorted(map(tuple, components.components(links).collect())) == few and rounds
+    assert (8, -4) in few and (201, 200) in few and (100, 1) in few and (300, 299) in few and (5, -4) in few
+    assert components.components(links.limit(0)).collect() == []
+
+
+def test_small_tasks_collect_no_garbage(monkeypatch):
+    """pipeline, op1: a worker that has not grown gives nothing back."""
+    calls = []
+    monkeypatch.setattr(common, "_held", 0)
+    monkeypatch.setattr(common.gc, "collect", lambda: calls.append(1))
+    for _ in range(5):
+        common.release()
+    assert len(calls) == 1
