@@ -7,7 +7,10 @@ follows from the two words before it, so a text needs no walk: each of its place
 
 Arcs and backoff weights are Spark tables that are computed by context and never gathered on the driver. They also hold the
 n-grams that only texts outside the training have, with their way over the failure arcs already added up, so one join scores a
-place. A text begins in the state of two beginnings, which gives the same as that of one.
+place. Places are taken in a fixed number of slices by the word before, one after the other, as the n-grams and places of all at
+once would take many times the texts on disk; a context lies in one slice with all its arcs and those it fails to, so the scores are the same.
+
+A text begins in the state of two beginnings, which gives the same as that of one.
 
 Frequent words have their unigram scores looked up in place, the others, with exact counts too, by a join. Words and n-grams are told
 apart by 64-bit hashes.
@@ -20,6 +23,7 @@ read whole. Extra columns are ignored. An empty table gives no rows.
 from __future__ import annotations
 
 import dataclasses
+import functools
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -43,6 +47,10 @@ BEGIN = xxhash.xxh3_64_intdigest(b"\n\n")
 BITS = np.int64(21)
 #: Places that are summed up in a task before the shuffle.
 KEYS = 1 << 20
+#: Slices of the places, by the word before, one after the other: what is shuffled of one is dropped before the next.
+SLICES = 16
+#: Slices go by upper bits; Spark deals partitions by a hash of the whole.
+_SLICE_BITS = np.uint64(40)
 
 _P1, _P2, _P3, _P4, _P5 = map(
     np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
@@ -115,15 +123,15 @@ def _held(part: pa.RecordBatch) -> np.ndarray:
     return part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
 
 
-def _places(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of every place the word before, the pair before, and the pair that ends there."""
+def _places(flat: np.ndarray, lengths: np.ndarray, k: int = 0, of: int = 1) -> tuple[np.ndarray | slice, np.ndarray, np.ndarray, np.ndarray]:
+    """The places of slice ``k``, by the word before, and of each the word before the last, the word before, and its own."""
     starts = np.cumsum(lengths) - lengths
     before = np.roll(flat, 1)
     before[starts] = np.uint64(BEGIN)
-    here = pair(before, flat)
-    context = np.roll(here, 1)
-    context[starts] = pair(*np.full((2, 1), BEGIN, np.uint64))[0]
-    return before, context, here
+    first = np.roll(before, 1)
+    first[starts] = np.uint64(BEGIN)
+    own = np.flatnonzero((before >> _SLICE_BITS) % np.uint64(of) == np.uint64(k)) if of > 1 else slice(None)
+    return own, first[own], before[own], flat[own]
 
 
 def _summed(names: list[str], parts: list[list[np.ndarray]]) -> pa.RecordBatch:
@@ -134,14 +142,18 @@ def _summed(names: list[str], parts: list[list[np.ndarray]]) -> pa.RecordBatch:
     return pa.record_batch([*[pa.array(as_long(x[at])) for x in between], pa.array(sums)], names=names)
 
 
-def _counted(tokens: DataFrame, names: list[str], arrays: Callable[[np.ndarray, np.ndarray], list[np.ndarray]]) -> DataFrame:
-    """Rows of the named arrays with ``n``, how often they stand in training texts, summed up within parts of a task."""
+def _counted(tokens: DataFrame, names: list[str], arrays: Callable[..., list[np.ndarray]], k: int = 0, of: int = 1) -> DataFrame:
+    """Rows of the named arrays with ``n``, how often they stand in training texts, summed up within parts of a task.
+
+    The arrays are made from the places of slice ``k``: the word before the last, the last one and the word there.
+    """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for part, flat, lengths in _pieces(batches):
-            parts.append([*arrays(flat, lengths), np.repeat(~_held(part), lengths)])
-            size += len(flat)
+            own, *words = _places(flat, lengths, k, of)
+            parts.append([*arrays(*words), np.repeat(~_held(part), lengths)[own]])
+            size += len(words[0])
             if size >= KEYS:
                 yield _summed([*names, "n"], parts)
                 parts, size = [], 0
@@ -153,28 +165,27 @@ def _counted(tokens: DataFrame, names: list[str], arrays: Callable[[np.ndarray,
 
 def unigrams(tokens: DataFrame) -> DataFrame:
     """Hash and count of every training token."""
-    counts = _counted(tokens.filter(~F.col("held_out")), ["h"], lambda flat, lengths: [flat, flat])
+    counts = _counted(tokens.filter(~F.col("held_out")), ["h"], lambda first, before, here: [here, here])
     return counts.groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def bigrams(tokens: DataFrame) -> DataFrame:
-    """``b``, ``c`` and count of every pair, 0 of one that no training text has; a task has all pairs of a ``b``."""
+def bigrams(tokens: DataFrame, k: int = 0, of: int = 1) -> DataFrame:
+    """``b``, ``c`` and count of every pair of a slice, 0 of one that no training text has; a task has all pairs of a ``b``."""
 
-    def arrays(flat: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
-        before, _, here = _places(flat, lengths)
-        return [here, before, flat]
+    def arrays(first: np.ndarray, before: np.ndarray, here: np.ndarray) -> list[np.ndarray]:
+        return [pair(before, here), before, here]
 
-    return _counted(tokens, ["b", "c"], arrays).repartition("b").groupBy("b", "c").agg(F.sum("n").alias("n"))
+    return _counted(tokens, ["b", "c"], arrays, k, of).repartition("b").groupBy("b", "c").agg(F.sum("n").alias("n"))
 
 
-def trigrams(tokens: DataFrame) -> DataFrame:
-    """``ab``, ``bc`` and count of every triple, as its two pairs; a task has all triples of a ``bc``."""
+def trigrams(tokens: DataFrame, k: int = 0, of: int = 1) -> DataFrame:
+    """``ab``, ``bc`` and count of every triple of a slice, as its two pairs; a task has all triples of a ``bc``."""
 
-    def arrays(flat: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
-        _, context, here = _places(flat, lengths)
-        return [pair(context, here), context, here]
+    def arrays(first: np.ndarray, before: np.ndarray, here: np.ndarray) -> list[np.ndarray]:
+        ab, bc = pair(first, before), pair(before, here)
+        return [pair(ab, bc), ab, bc]
 
-    return _counted(tokens, ["ab", "bc"], arrays).repartition("bc").groupBy("ab", "bc").agg(F.sum("n").alias("n"))
+    return _counted(tokens, ["ab", "bc"], arrays, k, of).repartition("bc").groupBy("ab", "bc").agg(F.sum("n").alias("n"))
 
 
 @dataclasses.dataclass
@@ -221,22 +232,41 @@ def _arcs(context: str, lower: str) -> Column:
     return F.when(n > 0, F.log10((n - DISCOUNT) / total)).otherwise(backoff + F.col(lower))
 
 
-def model_scores(tokens: DataFrame, counts: DataFrame, words: Words) -> DataFrame:
-    """``row`` and ``score``, the sum of the log10-probabilities of its tokens by the trigram model."""
+def pair_scores(tokens: DataFrame, counts: DataFrame, words: Words, k: int = 0, of: int = 1) -> DataFrame:
+    """``bc`` and ``two``, the log10-probability of ``c`` after ``b``, of the pairs of slice ``k``."""
     ones = counts.select(F.col("h").alias("c"), words_logp(words).alias("one"))
     none = float(words.logp(np.zeros(1))[0])
-    pairs = bigrams(tokens).join(ones, "c", "left").withColumn("one", F.coalesce("one", F.lit(none)))
-    pairs = pairs.select(F.xxhash64("b", "c").alias("bc"), _arcs("b", "one").alias("two"))
-    triples = trigrams(tokens).join(pairs, "bc")
+    pairs = bigrams(tokens, k, of).join(ones.hint("shuffle_hash"), "c", "left").withColumn("one", F.coalesce("one", F.lit(none)))
+    return pairs.select(F.xxhash64("b", "c").alias("bc"), _arcs("b", "one").alias("two"))
+
+
+def place_scores(tokens: DataFrame, pairs: DataFrame, k: int = 0, of: int = 1) -> DataFrame:
+    """``row`` and ``score``, the sum over the places of slice ``k``, from the scores of its pairs."""
+    triples = trigrams(tokens, k, of).join(pairs.hint("shuffle_hash"), "bc")
     arcs = triples.select(F.xxhash64("ab", "bc").alias("key"), _arcs("ab", "two").alias("three"))
 
     def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, flat, lengths in _pieces(batches):
-            rows = np.repeat(part.column("row").to_numpy(), lengths)
-            yield pa.record_batch([pa.array(rows), pa.array(as_long(pair(*_places(flat, lengths)[1:])))], names=["row", "key"])
+            own, first, before, here = _places(flat, lengths, k, of)
+            rows = np.repeat(part.column("row").to_numpy(), lengths)[own]
+            key = pair(pair(first, before), pair(before, here))
+            yield pa.record_batch([pa.array(rows), pa.array(as_long(key))], names=["row", "key"])
 
     places = tokens.select("row", "hashes").mapInArrow(keys, "row long, key long")
-    return places.join(arcs, "key").groupBy("row").agg(F.sum("three").alias("score"))
+    return places.join(arcs.hint("shuffle_hash"), "key").groupBy("row").agg(F.sum("three").alias("score"))
+
+
+def model_scores(tokens: DataFrame, counts: DataFrame, words: Words) -> DataFrame:
+    """``row`` and ``score``, the sum of the log10-probabilities of its tokens by the trigram model.
+
+    Joins hash the side whose keys are distinct, a slice of which is small in each partition; so nothing is sorted for them.
+    Each slice is written, and so has its shuffle files dropped, before the next one is run.
+    """
+    parts = []
+    for k in range(SLICES):
+        pairs = pair_scores(tokens, counts, words, k, SLICES)
+        parts.append(written(place_scores(tokens, pairs, k, SLICES), "place_scores"))
+    return functools.reduce(DataFrame.unionByName, parts).groupBy("row").agg(F.sum("score").alias("score"))
 
 
 def words_logp(words: Words) -> Column:
