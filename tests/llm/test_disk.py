@@ -100,3 +100,48 @@ def test_small_tasks_collect_no_garbage(monkeypatch):
     for _ in range(5):
         common.release()
     assert len(calls) == 1
+
+
+def test_model_is_met_in_slices(spark, monkeypatch):
+    """op9: every place lies in one slice, each slice is written by itself, and the number of slices changes no score."""
+    from dumpscope.llm import lm
+
+    words = "the cat sat on a mat and the dog sat on the cat".split()
+    rows = [(k, " ".join(words[(k * j) % len(words)] for j in range(k % 23))) for k in range(60)] + [(None, "the cat"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    names = []
+    monkeypatch.setattr(lm, "written", lambda df, name: names.append(name) or common.written(df, name))
+
+    def scores(slices):
+        monkeypatch.setattr(lm, "SLICES", slices)
+        return sorted((repr(r.doc_id), r.n_tokens, r.n_known, round(r.score, 9), round(r.base_score, 9)) for r in lm.scored(docs).collect())
+
+    assert scores(1) == scores(3)
+    assert names.count("place_scores") == 4
+    flat = lm.as_long(lm.WordHash().of([b"%d" % (k % 37) for k in range(200)])).view("uint64")
+    lengths = lm.np.array([150, 50])
+    own = [lm._places(flat, lengths, k, 5)[0] for k in range(5)]
+    assert sorted(lm.np.concatenate(own).tolist()) == list(range(200)) and all(len(x) < 200 for x in own)
+
+
+def test_windows_are_judged_in_slices(spark, monkeypatch):
+    """op13: anchors, runs and windows of a slice are written before the next; fast anchors are the least strings of each window."""
+    import numpy as np
+
+    from dumpscope.llm import suffix_dedup as sd
+
+    data = bytes(np.random.default_rng(1).integers(97, 100, 400, np.uint8))
+    g = sd.digits(data, sd.ANCHOR, sd._SEEDS[1])
+    spans = np.lib.stride_tricks.sliding_window_view(g, sd.WIDTH - sd.ANCHOR + 1)
+    assert (sd.anchors(data) == spans.min(axis=1).view(np.int64)).all()
+    least, at = sd.minimizers(data)
+    assert (least == sd.anchors(data)).all() and (at == np.arange(len(spans)) + spans.argmin(axis=1)).all()
+    names = []
+    monkeypatch.setattr(sd, "written", lambda df, name: names.append(name) or common.written(df, name))
+    one = data.decode()
+    rows = [(1, one), (2, "x" * 70 + one[40:200]), (3, one[100:149]), (4, one[60:110] + "?" + one[:300]), (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    removed = {r.doc_id: (r.n_removed, r.n_spans) for r in sd.dedup(docs).collect()}
+    assert removed == {1: (0, 0), 2: (160, 1), 3: (0, 0), 4: (350, 2), None: (0, 0)}
+    for name in ("suffix_shared", "suffix_judged", "suffix_single"):
+        assert names.count(name) == sd.SLICES
