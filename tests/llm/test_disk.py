@@ -145,3 +145,43 @@ def test_windows_are_judged_in_slices(spark, monkeypatch):
     assert removed == {1: (0, 0), 2: (160, 1), 3: (0, 0), 4: (350, 2), None: (0, 0)}
     for name in ("suffix_shared", "suffix_judged", "suffix_single"):
         assert names.count(name) == sd.SLICES
+
+
+def test_windows_of_lone_sides_are_not_made(spark, monkeypatch):
+    """op13: windows come only from anchor strings whose surroundings several open documents have; the copies are told once."""
+    import numpy as np
+
+    from dumpscope.llm import suffix_dedup as sd
+
+    made, tables = {}, []
+    monkeypatch.setattr(sd, "written", lambda df, name: made.setdefault(name, []).append(out := common.written(df, name)) or out)
+    monkeypatch.setattr(sd, "bucketed", lambda df, name, *keys: tables.append(name) or common.bucketed(df, name, *keys))
+    rng = np.random.default_rng(3)
+    letters = lambda n: bytes(rng.integers(97, 123, n, np.uint8)).decode()
+    # Whole passages under text of their own, and strings of 30 bytes, too short to repeat a window.
+    passage, short = letters(3000), [letters(30) for _ in range(40)]
+    rows = [(k, letters(60) + passage + letters(60) + "".join(letters(40) + x for x in short)) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    removed = {r.doc_id: (r.n_removed, r.n_spans) for r in sd.dedup(docs).collect()}
+    assert removed == {0: (0, 0), **{k: (3000, 1) for k in range(1, 4)}}
+    (windows,) = made["suffix_windows"]
+    assert 0 < windows.count() < 400  # one a byte of the passage and of each short string before: over 3000
+    assert tables == ["suffix_texts", "suffix_copies"]
+
+
+def test_sides_hold_every_window_once(monkeypatch):
+    """op13: each window of a run lies in one side, and equal windows have equal sides."""
+    import numpy as np
+
+    from dumpscope.llm import suffix_dedup as sd
+
+    one = bytes(np.random.default_rng(4).integers(97, 100, 300, np.uint8))
+    seen = {}
+    for data in (one, b"x" * 17 + one[40:200] + b"y", one[100:150]):
+        _, at = sd.minimizers(data)
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        _, keys, starts, ends = sd.sides(data, first, np.append(first[1:], len(at)) - 1, at[first])
+        windows = [(data[w : w + sd.WIDTH], int(k)) for k, a, b in zip(keys, starts, ends, strict=True) for w in range(a, b + 1)]
+        assert sorted(w for w, _ in windows) == sorted(data[w : w + sd.WIDTH] for w in range(len(at)))
+        assert all(seen.setdefault(w, k) == k for w, k in windows)
+    assert (sd.digits(one, 37, at=np.array([3, 50])) == sd.digits(one, 37)[[3, 50]]).all()
