@@ -1,11 +1,12 @@
 """Phrase collocations by SETM: relations of occurrences, extended one word at a time by joins.
 
 Texts are lower-cased in A-Z only, cut into pieces at ``PIECE`` and the pieces into words at ``GAP``. Everything is
-counted per language (null: ``und``). The relation of word occurrences (language, row, piece, position, word) is written
-once. For each length k from 1 to 4 the relation of occurrences of frequent k-word phrases is joined with the word
+counted per language (null: ``und``). The relation of occurrences of frequent words (row, piece and position, number of the word in its
+language) is written once, after a grouped count of all words. For each length k from 1 to 4 the relation of occurrences of frequent k-word phrases is joined with the word
 relation on row, piece and the position right after the phrase (a merge join of two relations in buckets by row, so neither moves),
 the new phrases are counted by a grouped count, and only occurrences of phrases that reach ``LEAST`` are kept (a
-semi-join with the frequent groups) before the next length. Every prefix of a frequent phrase is frequent, so no
+join with the frequent groups) before the next length. A relation holds numbers only: a frequent phrase gets one when its
+group is written, and is told by those of the phrase before and its last word; groups, not occurrences, carry the text. Every prefix of a frequent phrase is frequent, so no
 phrase of 2 to 5 words with ``LEAST`` occurrences or more is missed.
 
 A candidate of m words is cut after each k < m words into two frequent parts; l and r are their counts and
@@ -38,50 +39,76 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 EXACT = "decimal(38,0)"
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """One row per word occurrence: lang, rid, piece, pos, word (positions consecutive within a piece)."""
-    text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
-    rows = docs.select(
-        F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.monotonically_increasing_id().alias("rid"), text.alias("t")
-    )
-    # Texts move once, by row; then every relation lies in buckets by row, and joins of them move nothing.
-    rows = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rid")
+def split_words(rows: DataFrame) -> DataFrame:
+    """One row per word occurrence: lang, rid, at, spelled (the word before it is lower-cased). ``at`` is the piece in its upper half and the word's position
+    in the lower one, consecutive within a piece only."""
     pieces = rows.select("lang", "rid", F.posexplode(F.split("t", PIECE)).alias("piece", "p"))
-    words = pieces.select("lang", "rid", "piece", F.posexplode(F.split("p", GAP)).alias("pos", "word"))
+    words = pieces.select("lang", "rid", "piece", F.posexplode(F.split("p", GAP)).alias("pos", "spelled"))
     # A gap at the start of a piece gives one empty word at position 0; the others follow without a hole.
-    return words.where(F.length("word") > 0)
+    words = words.where(F.length("spelled") > 0)
+    return words.select("lang", "rid", (F.shiftleft(F.col("piece").cast("long"), 32) + F.col("pos")).alias("at"), "spelled")
+
+
+def occurrences(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The word occurrences, where the texts lie (for counts), and after the texts have moved once, by row."""
+    lang, text = F.coalesce(F.col("lang"), F.lit("und")), F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(lang.alias("lang"), F.monotonically_increasing_id().alias("rid"), text.alias("t"))
+    # Once texts have moved by row, every relation lies in buckets by row, and joins of them move nothing.
+    moved = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rid")
+    return split_words(rows), split_words(moved)
+
+
+def numbered(counts: DataFrame, least: int) -> DataFrame:
+    """The groups of ``least`` occurrences or more, with an ``id`` each."""
+    return written(counts.where(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()), "frequent_counts")
+
+
+def of_groups(occ: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """The occurrences of the groups. Few groups go to the occurrences, which then stay where they are."""
+    return occ.join(F.broadcast(groups) if groups.count() <= FEW else groups, keys, how)
+
 
+def frequent(occ: DataFrame, least: int = LEAST, keys: tuple[str, ...] = ("lang", "phrase"), ids: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(groups by ``keys`` with their count ``f`` where f >= least and an ``id``, occurrences of those groups).
 
-def frequent(occ: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """(phrases with their count ``f`` where f >= least, occurrences of those phrases)."""
-    counts = written(occ.groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= least), "frequent_counts")
-    groups = counts.select("lang", "phrase")
-    # Few groups go to the occurrences, which then stay where they are.
-    kept = occ.join(F.broadcast(groups) if counts.count() <= FEW else groups, ["lang", "phrase"], "left_semi")
-    return counts, kept
+    With ``ids`` the occurrences have the ``id`` of their group in place of the keys.
+    """
+    counts = numbered(occ.groupBy(*keys).agg(F.count(F.lit(1)).alias("f")), least)
+    if ids:
+        return counts, of_groups(occ, counts.select(*keys, "id"), list(keys)).drop(*keys)
+    return counts, of_groups(occ, counts.select(*keys), list(keys), "left_semi")
 
 
 def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """(every phrase of 1 to ``longest`` words with f >= least, with its word count k; word totals n per language)."""
-    words = bucketed(occurrences(docs), "occurrences", "rid")
-    totals = words.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    level = words.select("lang", "rid", "piece", "pos", F.col("word").alias("phrase"))
-    counts, level = frequent(level, least)
-    # Only frequent words can extend a frequent phrase.
-    level = bucketed(level, "phrases1", "rid")
-    next_word = level.select("rid", "piece", F.col("pos").alias("at"), F.col("phrase").alias("word"))
-    found = [counts.withColumn("k", F.lit(1))]
+    lying, moved = occurrences(docs)
+    # Each spelling is lower-cased once, not each occurrence.
+    spellings = lying.groupBy("lang", "spelled").agg(F.count(F.lit(1)).alias("f"))
+    spellings = written(spellings.withColumn("phrase", F.translate("spelled", UPPER, LOWER)), "spellings")
+    totals = spellings.groupBy("lang").agg(F.sum("f").alias("n"))
+    counts = numbered(spellings.groupBy("lang", "phrase").agg(F.sum("f").alias("f")), least)
+    # Only frequent words can extend a frequent phrase. The relations hold the numbers of phrases, and where their last word stands.
+    known = spellings.join(counts.select("lang", "phrase", "id"), ["lang", "phrase"]).select("lang", "spelled", "id")
+    level = of_groups(moved, written(known, "known_spellings"), ["lang", "spelled"])
+    level = bucketed(level.select("rid", "at", "id"), "phrases1", "rid")
+    names = first = counts.select("id", "lang", "phrase", "f")
+    next_word = level.withColumnRenamed("id", "word")
+    found = [names.withColumn("k", F.lit(1))]
     for k in range(1, longest):
-        starts = level.withColumn("at", F.col("pos") + k)
-        longer = starts.join(next_word, ["rid", "piece", "at"]).select("lang", "rid", "piece", "pos", F.concat_ws(" ", "phrase", "word").alias("phrase"))
+        starts = level.select("rid", (F.col("at") + 1).alias("at"), F.col("id").alias("start"))
+        longer = starts.join(next_word, ["rid", "at"])
         with joined_by_bucket(docs.sparkSession):
-            counts, level = frequent(longer, least)
+            counts, level = frequent(longer, least, ("start", "word"), ids=True)
             level = bucketed(level, f"phrases{k + 1}", "rid") if k + 1 < longest else level
-        found.append(counts.withColumn("k", F.lit(k + 1)))
+        starts = names.select(F.col("id").alias("start"), "lang", F.col("phrase").alias("before"))
+        ends = first.select(F.col("id").alias("word"), F.col("phrase").alias("last"))
+        named = counts.join(starts, "start").join(ends, "word").select("id", "lang", F.concat_ws(" ", "before", "last").alias("phrase"), "f")
+        names = written(named, "frequent_names")
+        found.append(names.withColumn("k", F.lit(k + 1)))
     union = found[0]
     for more in found[1:]:
         union = union.unionByName(more)
-    return written(union, "frequent_phrases"), totals
+    return written(union.drop("id"), "frequent_phrases"), totals
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:

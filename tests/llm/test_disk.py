@@ -185,3 +185,16 @@ def test_sides_hold_every_window_once(monkeypatch):
         assert sorted(w for w, _ in windows) == sorted(data[w : w + sd.WIDTH] for w in range(len(at)))
         assert all(seen.setdefault(w, k) == k for w, k in windows)
     assert (sd.digits(one, 37, at=np.array([3, 50])) == sd.digits(one, 37)[[3, 50]]).all()
+
+
+def test_relations_hold_numbers(spark, monkeypatch):
+    """op12: no relation of occurrences that is written has text in it; pieces and languages keep phrases apart."""
+    kinds = []
+    monkeypatch.setattr(collocations, "bucketed", lambda df, name, *keys: kinds.append(dict(df.dtypes)) or common.bucketed(df, name, *keys))
+    rows = [(k, "New york new york, of new. York\tof", ("en", None)[k % 2]) for k in range(6)] + [(None, None, "en"), (9, " ,. ", "de")]
+    found, totals = collocations.phrases(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 3)
+    expected = {("new", 9, 1), ("york", 9, 1), ("of", 6, 1), ("new york", 6, 2), ("york new", 3, 2), ("of new", 3, 2), ("york of", 3, 2)}
+    expected |= {("new york new", 3, 3), ("york new york", 3, 3), ("new york new york", 3, 4)}
+    assert {(r.lang, r.phrase, r.f, r.k) for r in found.collect()} == {(x, *e) for x in ("en", "und") for e in expected}
+    assert {(r.lang, r.n) for r in totals.collect()} == {("en", 24), ("und", 24)}
+    assert len(kinds) == 4 and all(set(k.values()) == {"bigint"} for k in kinds)
