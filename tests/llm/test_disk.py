@@ -124,6 +124,50 @@ def test_model_is_met_in_slices(spark, monkeypatch):
     assert sorted(lm.np.concatenate(own).tolist()) == list(range(200)) and all(len(x) < 200 for x in own)
 
 
+def test_places_move_once(spark, monkeypatch):
+    """op9: the places of a slice move in one exchange and their sums in another; no row of a place or triple is joined."""
+    from dumpscope.llm import lm
+
+    plans = {}
+    monkeypatch.setattr(lm, "written", lambda df, name: plans.setdefault(name, []).append(plan(df)) or common.written(df, name))
+    docs = spark.createDataFrame([(k, "a b a b c " * (k % 4)) for k in range(40)], "doc_id long, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = lm.scored(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted((r.doc_id, r.n_tokens) for r in out) == [(k, 5 * (k % 4) + 1) for k in range(40)]
+    assert len(plans["place_scores"]) == lm.SLICES
+    for p in plans["place_scores"]:
+        assert p.count("Exchange ") == 2 and p.count("Join") == 1 and "Aggregate" not in p and "Window" not in p, p
+
+
+def test_frequent_words_are_dealt_to_several_buckets(spark, monkeypatch):
+    """op9: small pieces, and words before with their places in many buckets, give the scores of large ones."""
+    import random
+
+    from dumpscope.llm import lm
+
+    rng = random.Random(3)
+    words = [f"w{int(rng.paretovariate(0.7))}" for _ in range(4000)]
+    rows = [(k, " ".join(rng.choices(words, k=rng.randint(0, 60)))) for k in range(150)]
+    rows += [(k, "of the w1 of the w2") for k in range(200, 260)] + [(None, "of the w1"), (3, "the of w1"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found, frequent_words = [], lm.frequent_words
+    monkeypatch.setattr(lm, "frequent_words", lambda *a: found.append(frequent_words(*a)) or found[-1])
+
+    def scores():
+        return sorted((repr(r.doc_id), r.held_out, r.n_tokens, r.n_known, round(r.score, 9), round(r.base_score, 9)) for r in lm.scored(docs).collect())
+
+    whole = scores()
+    for name, value in (("PIECE", 100), ("PART", 40), ("BUCKET", 50)):
+        monkeypatch.setattr(lm, name, value)
+    assert scores() == whole and len(whole) == 213 and any(r[1] for r in whole)
+    assert not len(found[0].hashes) and len(found[1].hashes) > 3 and found[1].parts.max() > 3 and lm.BEGIN in found[1].hashes
+    assert lm.bucket_count(spark, 10_000) == 50 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_windows_are_judged_in_slices(spark, monkeypatch):
     """op13: anchors, runs and windows of a slice are written before the next; fast anchors are the least strings of each window."""
     import numpy as np
