@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dumpscope.llm.common import (
-    WordHash, as_long, bounded_batches, bucketed, crc_remainder, list_column, mix, release, runs, written,
+    WordHash, as_long, bounded_batches, bucketed, crc_remainder, list_column, mix, release, runs, setting, written,
 )
 
 FOLDS, HELD_OUT = 5, 1
@@ -49,9 +49,11 @@ END = b"\n"
 BEGIN = xxhash.xxh3_64_intdigest(b"\n\n")
 BITS = np.int64(21)
 #: Tokens of a piece, about.
-PIECE = 1 << 21
+PIECE = 1 << 20
 #: Places of a slice in a bucket, about, and the most that a bucket gets of one word before, about.
 BUCKET, PART = 1 << 20, 1 << 20
+#: Bytes of rows that a task gives to Python at once, about: a piece or some blocks.
+BATCH_BYTES = 4 << 20
 #: Slices of the places, by the word before, one after the other: what is shuffled of one is dropped before the next.
 SLICES = 4
 #: Slices go by upper bits; Spark deals partitions by a hash of the whole.
@@ -590,6 +592,11 @@ def bucket_count(spark: SparkSession, places: int) -> int:
 
 def scored(docs: DataFrame) -> DataFrame:
     """A row for each document: tokens, known tokens, training tokens, unigram score and model score."""
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES), str(64 << 20)):
+        return written(_scored(docs), "document_scores")
+
+
+def _scored(docs: DataFrame) -> DataFrame:
     own = bounded_batches(docs).select(F.col("doc_id").cast("long"), "text")
     own = own.withColumn("held_out", crc_remainder("doc_id", FOLDS) == HELD_OUT)
     tokens = bucketed(tokenised(own), "tokens", "piece")
